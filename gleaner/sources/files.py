@@ -23,13 +23,14 @@ def export_json_lines(docs: DataFrame, path: str, where: Column | None = None, i
 
 
 def read_dictionary(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """(dictionary, word, root) from a .json list, a .csv of word,root, or one word per line.
+    """(dictionary, word, root) from a .json list, .jsonl lines, a .csv of word,root, or one word per line.
 
     A word without a root is its own root. An unreadable path raises.
     """
     kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
-    if kind == "json":
-        entries = spark.read.schema("word string, root string").option("multiLine", True).option("mode", "FAILFAST").json(path)
+    if kind in ("json", "jsonl"):
+        reader = spark.read.schema("word string, root string").option("mode", "FAILFAST")
+        entries = reader.option("multiLine", kind == "json").json(path)
         words = entries.select(F.trim("word").alias("word"), F.trim("root").alias("root"))
     elif kind == "csv":
         columns = spark.read.schema("word string, root string").option("mode", "PERMISSIVE").csv(path)

@@ -37,7 +37,7 @@ class Store:
 
     def aliases(self) -> DataFrame:
         """Current (alias, target); deleted names are gone."""
-        current = best_per_key(self._pointers(), ["alias"], [F.col("seq").desc()])
+        current = best_per_key(self._pointers(), ["alias"], [F.col("seq").desc(), F.col("at").desc()])
         return current.filter("target is not null").select("alias", "target")
 
     def target(self, alias: str) -> str | None:
@@ -99,7 +99,7 @@ def upserts(docs: DataFrame, seq) -> DataFrame:
 
 
 def tombstones(ids: DataFrame, seq) -> DataFrame:
-    return ids.select("id").withColumn("op", F.lit("delete")).withColumn("seq", seq)
+    return ids.select("id", F.lit("delete").alias("op"), seq.alias("seq"))
 
 
 def latest(log: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("text",)
+AREAS = ("text", "collections", "ranking")
 
 
 def _load() -> None:
