@@ -119,7 +119,10 @@ def segment_probes(token: Column, bound: int) -> Column:
 
 
 def word_shingles(toks: Column, size: int = 3) -> Column:
-    """Distinct hashes of ``size`` consecutive words; a shorter text is one shingle."""
+    """Distinct hashes of ``size`` consecutive words; a shorter text is one shingle.
+
+    ``toks`` should be a column, not an expression: it is read once per shingle.
+    """
     count = F.greatest(F.lit(1), F.size(toks) - (size - 1))
     return F.array_distinct(
         F.transform(F.sequence(F.lit(1), count), lambda s: F.xxhash64(F.slice(toks, s, size)))

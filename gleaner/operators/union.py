@@ -56,8 +56,9 @@ def drop_near_copies(hits: DataFrame, text: str, order: list[Column], similarity
     """
     shown = top_n(drop_copies(hits, text, order), ["query_id"], order, window)
     columns = [c for c in shown.columns if c != "rank"]
-    reduced = shown.withColumn("_shingles", F.sort_array(word_shingles(tokens(F.col(text)))))
-    slim = reduced.select("query_id", "_collection", "id", "rank", "_shingles")
+    # Tokens become a column first: inside a lambda they would be made anew per shingle.
+    worded = shown.withColumn("_tokens", tokens(F.col(text)))
+    slim = worded.withColumn("_shingles", word_shingles(F.col("_tokens"))).select("query_id", "_collection", "id", "rank", "_shingles")
 
     def keep_first(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rank")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("text", "collections", "ranking")
+AREAS = ("text", "collections", "ranking", "relations", "vectors", "conversations", "analytics", "streams")
 
 
 def _load() -> None:
