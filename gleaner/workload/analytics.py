@@ -100,7 +100,7 @@ def nohits_queries(spark, sf):
 
 @query(
     "popular_by_tag",
-    f"SELECT tag, q, count FROM (SELECT tag, q, count(*) AS count, row_number() OVER (PARTITION BY tag ORDER BY count(*) DESC, q) AS n FROM {_LOG} GROUP BY ALL) WHERE n <= 5",
+    f"SELECT tag, q, count FROM (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY count DESC, q) AS n FROM (SELECT tag, q, count(*) AS count FROM {_LOG} GROUP BY tag, q)) WHERE n <= 5",
 )
 def popular_by_tag(spark, sf):
     return analytics.popular_queries(log(spark, sf), 5, ["tag"])
@@ -141,9 +141,9 @@ def rules_table(spark, sf):
 
 @query(
     "run_rules",
-    f"""SELECT name AS rule, destination, q, count FROM (SELECT name, destination, q, lim, count(*) AS count,
-    row_number() OVER (PARTITION BY name ORDER BY count(*) DESC, q) AS n FROM (SELECT *, unnest(source_collections) AS collection FROM {_RULES})
-    JOIN {_LOG} USING (collection) WHERE type = 'popular_queries' OR found = 0 GROUP BY ALL) WHERE n <= lim""",
+    f"""SELECT name AS rule, destination, q, count FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY count DESC, q) AS n FROM
+    (SELECT name, destination, q, lim, count(*) AS count FROM (SELECT *, unnest(source_collections) AS collection FROM {_RULES})
+    JOIN {_LOG} USING (collection) WHERE type = 'popular_queries' OR found = 0 GROUP BY ALL)) WHERE n <= lim""",
 )
 def run_rules(spark, sf):
     return analytics.run_rules(log(spark, sf), resources.rules(spark, RULES))
@@ -204,12 +204,12 @@ _ASKED = f"SELECT 'w' || word AS query_id, word AS q FROM (SELECT DISTINCT unnes
 def nohits_words(spark, sf):
     """Words of the reference texts that find no document: a search feeding the analytics."""
     from gleaner.operators.match import EXACT_ONLY, Match, search
-    from gleaner.operators.postings import occurrences
+    from gleaner.operators.postings import occurrences, postings
     from gleaner.operators.rank import found
 
     words = occurrences(table(spark, sf, "benchmark").withColumn("id", F.col("item_id").cast("string")), ["text"])
     batch = words.select(F.concat(F.lit("w"), "token").alias("query_id"), F.col("token").alias("q")).distinct()
-    hits = search(occurrences(documents(spark, sf), ["text"]), batch, Match(("text",), **EXACT_ONLY))
+    hits = search(postings(documents(spark, sf), ["text"]), batch, Match(("text",), **EXACT_ONLY))
     searched = batch.join(found(hits, batch), "query_id")
     return analytics.nohits_queries(searched, 1_000_000)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gleaner.operators import schema as s
 from gleaner.operators.normalize import nest_many, nested, normalize, normalize_with, project
-from gleaner.operators.postings import occurrences
+from gleaner.operators.postings import occurrences, postings
 from gleaner.operators.schema import Collection, Field
 from gleaner.plans.reindex import reindex
 from gleaner.session import table, work_path
@@ -511,5 +511,5 @@ def index_false(spark, sf):
     fields = [Field("p_name", "string"), Field("p_type", "string", index=False)]
     docs = products(spark, sf)
     queries = requests(spark, [("q1", "standard"), ("q2", "red"), ("q3", "ring")])
-    hits = search(occurrences(docs, fields), queries, Match(("p_name", "p_type"), **EXACT_ONLY))
+    hits = search(postings(docs, fields), queries, Match(("p_name", "p_type"), **EXACT_ONLY))
     return hits.select("query_id", "id").join(docs.select("id", "p_name", "p_type"), "id")

@@ -8,7 +8,7 @@ from gleaner.functions.predicates import gt
 from gleaner.functions.skew import ordinals, top_by
 from gleaner.operators import curation, rank, union
 from gleaner.operators.match import EXACT_ONLY, Match, search
-from gleaner.operators.postings import occurrences
+from gleaner.operators.postings import postings
 from gleaner.operators.relations import cascade, check_references, join_reference, unresolved
 from gleaner.session import table
 from gleaner.sources import resources
@@ -116,7 +116,7 @@ def union_hits(spark, sf):
     how = Match(("text",), **EXACT_ONLY)
     parts = {}
     for name, docs in (("documents", documents(spark, sf)), ("benchmark", benchmark(spark, sf))):
-        hits = search(occurrences(docs, ["text"]), queries, how)
+        hits = search(postings(docs, ["text"]), queries, how)
         parts[name] = hits.join(docs.select("id", "text"), "id")
     return union.merge(parts)
 
@@ -171,7 +171,7 @@ def preset_search(spark, sf):
         asked, wide.withColumn("per_page", F.col("per_page").cast("int")), ["q", "per_page"], common={"per_page": 5}
     )
     how = Match(tuple(NAME_TYPE), **EXACT_ONLY)
-    hits = search(occurrences(products(spark, sf), NAME_TYPE), resolved.select("query_id", "q"), how)
+    hits = search(postings(products(spark, sf), NAME_TYPE), resolved.select("query_id", "q"), how)
     limited = hits.join(resolved.select("query_id", "per_page"), "query_id")
     order = [*rank.default_order(), F.col("id").asc()]
     return top_by(limited, ["query_id"], order, "per_page").select("query_id", "id", "score", "rank")

@@ -27,9 +27,14 @@ def _as_changes(events):
     )
 
 
-def change_stream(spark, sf):
+def event_stream(spark, sf):
+    """The events as they arrive; the pattern admits one file as well as a folder of files."""
     known = table(spark, sf, "events").schema
-    return _as_changes(spark.readStream.schema(known).parquet(f"{sf.rstrip('/')}/events.parquet"))
+    return spark.readStream.schema(known).parquet(f"{sf.rstrip('/')}/events.parquet*")
+
+
+def change_stream(spark, sf):
+    return _as_changes(event_stream(spark, sf))
 
 
 def customers(spark, sf):
@@ -74,9 +79,7 @@ def cdc_refetch(spark, sf):
     "SELECT 'k' || json_extract_string(props, '$.k') AS q, count(*) AS count FROM events WHERE event_type IN ('view', 'error') GROUP BY 1",
 )
 def popular_queries_stream(spark, sf):
-    known = table(spark, sf, "events").schema
-    events = spark.readStream.schema(known).parquet(f"{sf.rstrip('/')}/events.parquet")
-    searches = events.filter(F.col("event_type").isin("view", "error")).select(
+    searches = event_stream(spark, sf).filter(F.col("event_type").isin("view", "error")).select(
         F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("q")
     )
     path = work_path(spark, "popular-stream")

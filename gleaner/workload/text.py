@@ -9,7 +9,7 @@ from gleaner.operators import highlight as marks
 from gleaner.operators import rank
 from gleaner.operators.lexical import synonym_pairs
 from gleaner.operators.match import EXACT_ONLY, Match, search
-from gleaner.operators.postings import occurrences
+from gleaner.operators.postings import occurrences, postings
 from gleaner.operators.schema import Field
 from gleaner.sources import resources
 from gleaner.workload import oracle
@@ -23,12 +23,12 @@ NAME_TYPE = ["p_name", "p_type"]
 def product_hits(spark, sf, rows, fields=NAME_TYPE, where=None, **options):
     docs = products(spark, sf) if where is None else products(spark, sf).filter(where)
     how = Match(tuple(fields), **(EXACT_ONLY | options))
-    return search(occurrences(docs, list(fields)), requests(spark, rows), how)
+    return search(postings(docs, list(fields)), requests(spark, rows), how)
 
 
 def document_hits(spark, sf, rows, **options):
     how = Match(("text",), **(EXACT_ONLY | options))
-    return search(occurrences(documents(spark, sf), ["text"]), requests(spark, rows), how)
+    return search(postings(documents(spark, sf), ["text"]), requests(spark, rows), how)
 
 
 def on_products(key, rows, fields=NAME_TYPE, spark_options=None, **sql_options):
@@ -79,7 +79,7 @@ def search_turns(spark, sf):
     turns = table(spark, sf, "conversations").filter("role = 'user'")
     batch = turns.select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("query_id"), F.col("text").alias("q"))
     how = Match(("text",), **(EXACT_ONLY | {"drop_tokens_threshold": 1}))
-    return search(occurrences(documents(spark, sf), ["text"]), batch, how)
+    return search(postings(documents(spark, sf), ["text"]), batch, how)
 
 
 WEIGHTS = {"p_name": 2, "p_type": 5}
@@ -267,9 +267,9 @@ def highlight(spark, sf):
 
     queries = requests(spark, PRODUCT_QUERIES)
     how = Match(("p_name",), **(EXACT_ONLY | {"prefix": True}))
-    postings = occurrences(products(spark, sf), ["p_name"])
-    words = candidates(tokenize_queries(queries), vocabulary(postings), how)
-    hits = search(postings, queries, how).join(products(spark, sf).select("id", "p_name"), "id")
+    found = postings(products(spark, sf), ["p_name"])
+    words = candidates(tokenize_queries(queries), vocabulary(found), how)
+    hits = search(found, queries, how).join(products(spark, sf).select("id", "p_name"), "id")
     marked = marks.matched_tokens(hits, words)
     return marked.select("query_id", "id", marks.highlight(F.col("p_name"), F.col("marks")).alias("highlight"))
 

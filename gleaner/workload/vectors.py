@@ -31,7 +31,7 @@ def centres(spark, sf):
 
 
 def _nearest(k, formula=_COS, queries=_CENTRES, where="true"):
-    return f"""SELECT query_id, id, {sql_rounded('d')} + 0.0 AS distance, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), id) AS INTEGER) AS rank
+    return f"""SELECT query_id, id, {sql_rounded('round(d, 9)')} + 0.0 AS distance, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), id) AS INTEGER) AS rank
     FROM (SELECT query_id, b.id, {formula} AS d FROM {queries} a, {_DOCS} b) WHERE {where}) WHERE rank <= {k}"""
 
 
@@ -57,7 +57,7 @@ _BY_ID = f"(SELECT query_id, w.id AS self, v FROM {oracle.values(IDS)} w(query_i
 
 @query(
     "knn_by_id",
-    f"""SELECT query_id, id, {sql_rounded('d')} + 0.0 AS distance, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), id) AS INTEGER) AS rank
+    f"""SELECT query_id, id, {sql_rounded('round(d, 9)')} + 0.0 AS distance, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), id) AS INTEGER) AS rank
     FROM (SELECT query_id, b.id, {_COS} AS d FROM {_BY_ID} a, {_DOCS} b WHERE b.id <> a.self)) WHERE rank <= 15""",
 )
 def knn_by_id(spark, sf):
