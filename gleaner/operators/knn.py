@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.skew import top_n
 from gleaner.functions.vectors import METRICS, distance
+from gleaner.session import local_table
 
 # Query vectors held by a task at a time; larger batches take several scans.
 QUERIES_PER_SCAN = 2048
@@ -78,7 +79,7 @@ def knn(
         local = source.mapInPandas(run, "query_id string, id string, distance double")
         out = local if out is None else out.unionByName(local)
     if out is None:
-        out = source.sparkSession.createDataFrame([], "query_id string, id string, distance double")
+        out = local_table(source.sparkSession, [], "query_id string, id string, distance double")
     return top_n(out, ["query_id"], [F.col("distance").asc(), F.col("id").asc()], k)
 
 
@@ -124,6 +125,31 @@ def assign_cells(docs: DataFrame, model, metric: str = "cosine") -> DataFrame:
     return placed.withColumnRenamed("prediction", "cell").drop("features")
 
 
+def probe_cells(queries: DataFrame, model, probes: int, metric: str = "cosine") -> DataFrame:
+    """(query_id, query_vector, cell) for the cells whose centres are nearest to each query."""
+    centres = np.asarray(model.clusterCenters())
+    probes = min(probes, len(centres))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            points = np.stack(batch["point"].to_numpy())
+            far = (centres**2).sum(axis=1)[None, :] - 2.0 * points @ centres.T
+            cells = np.argsort(far, axis=1, kind="stable")[:, :probes]
+            yield pd.DataFrame(
+                {
+                    "query_id": np.repeat(batch["query_id"].to_numpy(), probes),
+                    "query_vector": [v for v in batch["vector"] for _ in range(probes)],
+                    "cell": cells.ravel().astype(np.int32),
+                }
+            )
+
+    value = unit(F.col("vector")) if metric == "cosine" else F.col("vector").cast("array<double>")
+    points = queries.select("query_id", F.col("vector").cast("array<double>").alias("vector"), value.alias("point"))
+    return points.mapInPandas(run, "query_id string, query_vector array<double>, cell int")
+
+
 def knn_cells(
     placed: DataFrame, queries: DataFrame, model, k: int, probes: int, metric: str = "cosine", salts: int = 8
 ) -> DataFrame:
@@ -133,23 +159,8 @@ def knn_cells(
     large share of all vectors, so each is split into ``salts`` sub-cells and
     the (few) query rows are repeated for them.
     """
-    centres = np.asarray(model.clusterCenters())
-    value = unit(F.col("vector")) if metric == "cosine" else F.col("vector").cast("array<double>")
-    far = [
-        F.struct(
-            F.aggregate(
-                F.zip_with(F.col("_point"), F.array(*[F.lit(float(x)) for x in centre]), lambda a, b: (a - b) * (a - b)),
-                F.lit(0.0), lambda acc, x: acc + x,
-            ).alias("far"),
-            F.lit(cell).alias("cell"),
-        )
-        for cell, centre in enumerate(centres)
-    ]
-    probed = (
-        queries.withColumn("_point", value)
-        .withColumn("_cells", F.slice(F.sort_array(F.array(*far)), 1, probes))
-        .select("query_id", F.col("vector").alias("query_vector"), F.explode("_cells.cell").alias("cell"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    probed = probe_cells(queries, model, probes, metric).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     salted = placed.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
     measured = salted.join(probed, ["cell", "salt"]).select(

@@ -32,7 +32,7 @@ def synonym_pairs(items: DataFrame) -> DataFrame:
 def synonym_alternatives(
     query_tokens: DataFrame, pairs: DataFrame, collection: str | None = None, typos: int = 0
 ) -> DataFrame:
-    """Expansions of the query tokens: (query_id, slot, alt, word_no, n_words, token).
+    """Expansions of the query tokens: (query_id, slot, alt, word_no, n_words, token, n_tokens, query_hash).
 
     A term of several words must stand in the query word by word. An expansion
     of several words is one alternative that needs all of them. With ``typos``
@@ -48,36 +48,40 @@ def synonym_alternatives(
     found = query_tokens.join(firsts, query_tokens["token"] == firsts["first"]).filter(
         F.slice("query_words", F.col("slot") + 1, F.size("term_words")) == F.col("term_words")
     )
-    columns = ["query_id", "slot", "term_words", "words"]
+    columns = ["query_id", "slot", "n_tokens", "query_hash", "term_words", "words"]
     found = found.select(*columns)
     if typos:
         singles = firsts.filter(F.size("term_words") == 1)
         keyed = singles.select("term_words", "words", "first", F.explode(segment_keys(F.col("first"), typos)).alias("key"))
-        probes = query_tokens.select("query_id", "slot", "token", F.explode(segment_probes(F.col("token"), typos)).alias("key"))
+        probes = query_tokens.select("query_id", "slot", "token", "n_tokens", "query_hash", F.explode(segment_probes(F.col("token"), typos)).alias("key"))
         close = probes.join(keyed, "key").filter(F.levenshtein("token", "first", typos) >= 0)
         found = found.unionByName(close.select(*columns)).distinct()
     alternatives = found.select(
         "query_id",
+        "n_tokens",
+        "query_hash",
         F.explode(F.sequence(F.col("slot"), F.col("slot") + F.size("term_words") - 1)).alias("slot"),
         F.xxhash64(F.col("slot"), F.col("term_words"), F.col("words")).alias("alt"),
         "words",
     )
     return alternatives.select(
-        "query_id", "slot", "alt", F.size("words").alias("n_words"), F.posexplode("words").alias("word_no", "token")
+        "query_id", "slot", "alt", "n_tokens", "query_hash",
+        F.size("words").alias("n_words"), F.posexplode("words").alias("word_no", "token"),
     )
 
 
 def stem_alternatives(query_tokens: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Words sharing the root of a query token: (query_id, slot, token).
+    """Words sharing the root of a query token: (query_id, slot, n_tokens, query_hash, token).
 
     Equal to replacing words by roots in documents *and* queries, but only the
     query side is rewritten; the postings stay as they are.
     """
     words = dictionary.select("word", "root").distinct()
     root_of = words.withColumnsRenamed({"word": "token"})
-    rooted = query_tokens.select("query_id", "slot", "token").join(root_of, "token", "left")
-    stems = rooted.select("query_id", "slot", F.coalesce("root", "token").alias("stem"))
-    same_root = stems.join(words, stems["stem"] == words["root"]).select("query_id", "slot", F.col("word").alias("token"))
+    place = ["query_id", "slot", "n_tokens", "query_hash"]
+    rooted = query_tokens.select(*place, "token").join(root_of, "token", "left")
+    stems = rooted.select(*place, F.coalesce("root", "token").alias("stem"))
+    same_root = stems.join(words, stems["stem"] == words["root"]).select(*place, F.col("word").alias("token"))
     changed = words.filter(F.col("word") != F.col("root")).select(F.col("word").alias("stem"))
-    root_itself = stems.join(changed, "stem", "left_anti").select("query_id", "slot", F.col("stem").alias("token"))
+    root_itself = stems.join(changed, "stem", "left_anti").select(*place, F.col("stem").alias("token"))
     return same_root.unionByName(root_itself).distinct()

@@ -16,6 +16,8 @@ from gleaner.operators.postings import vocabulary
 
 # Query tokens per bit mask; longer queries use several masks.
 MASK_BITS = 62
+# Candidate tokens (some 100 bytes each) that may be broadcast.
+BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -66,9 +68,12 @@ def _expand(column: str, wanted: DataFrame, words: DataFrame, query_key, word_ke
 
 
 def candidates(query_tokens: DataFrame, words: DataFrame | None, how: Match) -> DataFrame:
-    """Tokens that satisfy a slot: (query_id, slot, field, alt, word_no, n_words, token, cost, infix)."""
+    """Tokens that satisfy a slot: (query_id, slot, field, alt, word_no, n_words, token, cost, infix, …).
+
+    The length and hash of the query ride along, so that no later join is needed for them.
+    """
     out = []
-    slots = query_tokens.select("query_id", "slot", "token", "n_tokens")
+    slots = query_tokens.select("query_id", "slot", "token", "n_tokens", "query_hash")
 
     def emit(df, token="token", cost=F.lit(0), infix=F.lit(0)):
         single = "alt" not in df.columns
@@ -78,7 +83,7 @@ def candidates(query_tokens: DataFrame, words: DataFrame | None, how: Match) ->
                 (F.lit(0).cast("long") if single else F.col("alt")).alias("alt"),
                 (F.lit(0) if single else F.col("word_no")).alias("word_no"),
                 (F.lit(1) if single else F.col("n_words")).alias("n_words"),
-                F.col(token).alias("token"), cost.alias("cost"), infix.alias("infix"),
+                F.col(token).alias("token"), cost.alias("cost"), infix.alias("infix"), "n_tokens", "query_hash",
             )
         )
 
@@ -136,7 +141,7 @@ def candidates(query_tokens: DataFrame, words: DataFrame | None, how: Match) ->
     every = reduce(DataFrame.unionByName, out)
     if len(out) == 1:
         return every
-    keys = ["query_id", "slot", "field", "alt", "word_no", "n_words", "token"]
+    keys = ["query_id", "slot", "field", "alt", "word_no", "n_words", "token", "n_tokens", "query_hash"]
     return every.groupBy(*keys).agg(F.min(F.struct("infix", "cost")).alias("best")).select(
         *keys, "best.cost", "best.infix"
     )
@@ -174,9 +179,7 @@ def search(postings: DataFrame, queries: DataFrame, how: Match, words: DataFrame
     query_tokens = tokenize_queries(queries)
     if words is None and needs_vocabulary(how):
         words = vocabulary(postings.filter(F.col("field").isin(*how.fields)))
-    facts = query_tokens.select("query_id", "n_tokens", "query_hash").distinct()
-    wanted = candidates(query_tokens, words, how).join(facts, "query_id")
-
+    wanted, longest = _checked(candidates(query_tokens, words, how))
     found = postings.filter(F.col("field").isin(*how.fields)).join(wanted, ["field", "token"])
     columns = [
         "query_id", "id", "field", "slot", "pos", "cost", "infix", "field_length", "field_hash",
@@ -184,11 +187,21 @@ def search(postings: DataFrame, queries: DataFrame, how: Match, words: DataFrame
     ]
     if how.synonyms is not None and how.enable_synonyms:
         found = _complete_alternatives(found, columns)
-    wide = not queries.filter(F.size(tokens(F.col("q"))) > MASK_BITS).isEmpty()
-    scored = _score(found, how, wide)
+    scored = _score(found, how, wide=longest > MASK_BITS)
     return _relax(scored, how)
 
 
+def _checked(wanted: DataFrame) -> tuple[DataFrame, int]:
+    """The candidate tokens, sent to all tasks if their counted number allows it; and the longest query.
+
+    Then the postings are filtered where they lie. Beyond the limit both sides
+    are shuffled by token, and adaptive execution splits the hot tokens.
+    """
+    wanted = wanted.persist()
+    rows, longest = wanted.agg(F.count(F.lit(1)), F.max("n_tokens")).first()
+    return (F.broadcast(wanted) if rows <= BROADCAST_ROWS else wanted), longest or 0
+
+
 def _complete_alternatives(found: DataFrame, columns: list[str]) -> DataFrame:
     """Alternatives of several words count only where all their words stand in the field."""
     facts = ["field_length", "field_hash", "n_tokens", "query_hash"]

@@ -53,7 +53,11 @@ def postings(docs: DataFrame, fields: list[Field | str], id_column: str = "id")
     shifted = F.concat(F.array(F.struct(F.lit("").alias("token"), F.lit(-1).alias("pos"))), F.col("placed"))
     first = F.zip_with("placed", shifted, lambda x, before: F.when(x["token"] != before["token"], x))
     kept = ordered.withColumn("first", F.array_compact(first))
-    return kept.select("id", "field", "field_length", "field_hash", F.inline("first"))
+    # The outer form: for the inner one Spark derives a filter on the size of the
+    # list and would sort every text a second time to evaluate it.
+    return kept.select("id", "field", "field_length", "field_hash", F.inline_outer("first")).filter(
+        F.col("token").isNotNull()
+    )
 
 
 def index(docs: DataFrame, collection: Collection, id_column: str = "id") -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleaner.session import local_table
+
 # Type names and the rules that refer to them.
 FIELD_TYPES = (
     "string", "int32", "int64", "float", "bool",
@@ -181,7 +183,7 @@ def field_table(spark: SparkSession, collections: list[Collection]) -> DataFrame
         for c in collections
         for f in c.fields
     ]
-    return spark.createDataFrame(rows, FIELD_TABLE)
+    return local_table(spark, rows, FIELD_TABLE)
 
 
 def spark_schema(collection: Collection, source: DataFrame) -> T.StructType:

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def work_root(spark: SparkSession) -> str:
@@ -31,3 +34,14 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def local_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """Rows given by the caller as a table whose size the planner knows.
+
+    Through Arrow the rows become a local relation. From a plain list Spark
+    makes an RDD of unknown size, which it would never broadcast by itself.
+    """
+    schema = T.StructType.fromDDL(ddl)
+    data = pa.Table.from_pylist([dict(zip(schema.names, row)) for row in rows], schema=to_arrow_schema(schema))
+    return spark.createDataFrame(data, schema=schema)

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.session import local_table
+
 # The kinds and their order.
 KINDS = (
     "synonym_sets", "curation_sets", "presets", "stemming_dictionaries",
@@ -42,7 +44,7 @@ def synonym_rows(sets: dict, collections: dict | None = None, flat: list[dict] |
 
 
 def synonyms(spark: SparkSession, sets: dict, collections: dict | None = None, flat: list[dict] | None = None) -> DataFrame:
-    return spark.createDataFrame(synonym_rows(sets, collections, flat), SYNONYMS)
+    return local_table(spark, synonym_rows(sets, collections, flat), SYNONYMS)
 
 
 def synonym_problems(items: DataFrame) -> DataFrame:
@@ -60,18 +62,18 @@ def curations(spark: SparkSession, sets: dict) -> DataFrame:
             tags = list(item["rule"].get("tags", []))
             rows += [(name, item["id"], query, "include", str(d["id"]), int(d["position"]), tags) for d in item.get("includes", [])]
             rows += [(name, item["id"], query, "exclude", str(d["id"]), None, tags) for d in item.get("excludes", [])]
-    return spark.createDataFrame(rows, CURATIONS)
+    return local_table(spark, rows, CURATIONS)
 
 
 def presets(spark: SparkSession, config: dict) -> DataFrame:
     """(name, param, value)"""
     rows = [(n, p, None if v is None else str(v)) for n, params in config.items() for p, v in params.items()]
-    return spark.createDataFrame(rows, "name string, param string, value string")
+    return local_table(spark, rows, "name string, param string, value string")
 
 
 def stemming(spark: SparkSession, config: dict) -> DataFrame:
     rows = [(n, w["word"], w["root"]) for n, words in config.items() for w in words]
-    return spark.createDataFrame(rows, "dictionary string, word string, root string")
+    return local_table(spark, rows, "dictionary string, word string, root string")
 
 
 def rules(spark: SparkSession, config: dict) -> DataFrame:
@@ -83,13 +85,13 @@ def rules(spark: SparkSession, config: dict) -> DataFrame:
         )
         for key, rule in config.items()
     ]
-    return spark.createDataFrame(rows, RULES)
+    return local_table(spark, rows, RULES)
 
 
 def models(spark: SparkSession, kind: str, config: dict) -> DataFrame:
     """Model ids are taken from the key unless the model brings one."""
     rows = [(kind, str(m.get("id", key)), m.get("model_name")) for key, m in config.items()]
-    return spark.createDataFrame(rows, "kind string, id string, model_name string")
+    return local_table(spark, rows, "kind string, id string, model_name string")
 
 
 def load(spark: SparkSession, config: dict) -> dict[str, DataFrame]:

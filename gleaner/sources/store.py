@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.functions.skew import best_per_key
+from gleaner.session import local_table
 
 POINTER = "alias string, target string, seq long, at timestamp"
 
@@ -28,11 +29,11 @@ class Store:
         try:
             return self.spark.read.schema(POINTER).parquet(f"{self.root}/aliases")
         except AnalysisException:
-            return self.spark.createDataFrame([], POINTER)
+            return local_table(self.spark, [], POINTER)
 
     def _point(self, alias: str, target: str | None) -> None:
         seq = (self._pointers().agg(F.max("seq")).first()[0] or 0) + 1
-        row = self.spark.createDataFrame([(alias, target, seq)], "alias string, target string, seq long")
+        row = local_table(self.spark, [(alias, target, seq)], "alias string, target string, seq long")
         row.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.root}/aliases")
 
     def aliases(self) -> DataFrame:

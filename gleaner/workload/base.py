@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.session import table
+from gleaner.session import local_table, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,7 +28,7 @@ def query(key: str, sql: str | None = None):
 
 
 def requests(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
-    return spark.createDataFrame(rows, "query_id string, q string")
+    return local_table(spark, rows, "query_id string, q string")
 
 
 def keyed(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:

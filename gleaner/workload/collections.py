@@ -11,7 +11,7 @@ from gleaner.operators.normalize import nest_many, nested, normalize, normalize_
 from gleaner.operators.postings import occurrences, postings
 from gleaner.operators.schema import Collection, Field
 from gleaner.plans.reindex import reindex
-from gleaner.session import table, work_path
+from gleaner.session import local_table, table, work_path
 from gleaner.sources import files
 from gleaner.sources.store import (
     Store, compact, delete_ids, latest, lookup, merge_upserts, tombstones, upserts,
@@ -102,7 +102,7 @@ def collection_create(spark, sf):
     steps.append(("recreate", True, store.read("products").count()))
     steps.append(("drop", store.drop("products"), 0))
     steps.append(("drop missing", store.drop("products"), 0))
-    return spark.createDataFrame(steps, "step string, done boolean, documents long")
+    return local_table(spark, steps, "step string, done boolean, documents long")
 
 
 @query(
@@ -241,7 +241,7 @@ def alias_swap(spark, sf):
     second = store.publish("documents", "documents_v2", docs.filter("n_chars > 200"))
     seen_second = store.read("documents").count()
     rows = [("documents_v1", first, seen_first), ("documents_v2", second, seen_second)]
-    return spark.createDataFrame(rows, "version string, previous string, documents long")
+    return local_table(spark, rows, "version string, previous string, documents long")
 
 
 _VOCABULARY = f"(SELECT DISTINCT unnest({oracle.tokens('text')}) AS word FROM benchmark)"

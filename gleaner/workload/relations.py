@@ -10,7 +10,7 @@ from gleaner.operators import curation, rank, union
 from gleaner.operators.match import EXACT_ONLY, Match, search
 from gleaner.operators.postings import postings
 from gleaner.operators.relations import cascade, check_references, join_reference, unresolved
-from gleaner.session import table
+from gleaner.session import local_table, table
 from gleaner.sources import resources
 from gleaner.workload import oracle
 from gleaner.workload.base import (
@@ -166,7 +166,7 @@ def preset_search(spark, sf):
     """Stored parameters by name; the request's own values win, then the preset, then the shared ones."""
     stored = resources.presets(spark, {n: {"q": q, "per_page": p} for n, q, p in _PRESETS})
     wide = stored.groupBy("name").pivot("param", ["q", "per_page"]).agg(F.first("value"))
-    asked = spark.createDataFrame(_REQUESTS, "query_id string, preset string, q string, per_page int")
+    asked = local_table(spark, _REQUESTS, "query_id string, preset string, q string, per_page int")
     resolved = union.with_presets(
         asked, wide.withColumn("per_page", F.col("per_page").cast("int")), ["q", "per_page"], common={"per_page": 5}
     )

@@ -10,8 +10,11 @@ from gleaner.operators import rank
 from gleaner.operators.lexical import synonym_pairs
 from gleaner.operators.match import EXACT_ONLY, Match, search
 from gleaner.operators.postings import occurrences, postings
-from gleaner.operators.schema import Field
+from gleaner.operators.schema import Collection, Field
+from gleaner.plans.indexing import build_index, read_index
+from gleaner.session import table, work_path
 from gleaner.sources import resources
+from gleaner.sources.store import Store
 from gleaner.workload import oracle
 from gleaner.workload.base import (
     DOCUMENT_QUERIES, DOCUMENTS, PRODUCT_QUERIES, PRODUCTS, documents, products, query, requests,
@@ -74,8 +77,6 @@ _long = (
 @query("search_turns", oracle.search(DOCUMENTS, ["text"], _long, drop_threshold=1))
 def search_turns(spark, sf):
     """Every user turn is a query of any length; tokens are dropped where nothing holds them all."""
-    from gleaner.session import table
-
     turns = table(spark, sf, "conversations").filter("role = 'user'")
     batch = turns.select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("query_id"), F.col("text").alias("q"))
     how = Match(("text",), **(EXACT_ONLY | {"drop_tokens_threshold": 1}))
@@ -126,6 +127,19 @@ on_products(
     spark_options={"drop_tokens_threshold": 40}, drop_threshold=40,
 )
 
+
+
+@query("indexed_search", oracle.search(PRODUCTS, NAME_TYPE, MISSPELT, num_typos=2, prefix=NAME_TYPE))
+def indexed_search(spark, sf):
+    """The same kind of search on an index written beforehand."""
+    store = Store(spark, work_path(spark, "index"))
+    shop = Collection("products", tuple(Field(f, "string") for f in NAME_TYPE))
+    build_index(store, shop, products(spark, sf), "products_v1")
+    found, words = read_index(store, shop)
+    how = Match(tuple(NAME_TYPE), num_typos=2, drop_tokens_threshold=0)
+    return search(found, requests(spark, MISSPELT), how, words)
+
+
 # --- scores ------------------------------------------------------------------
 
 for _type, _key in (("max_score", "score_max"), ("max_weight", "score_max_weight"), ("sum_score", "score_sum")):

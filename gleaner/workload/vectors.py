@@ -8,7 +8,7 @@ from gleaner.functions.vectors import distance
 from gleaner.operators import knn as nn
 from gleaner.operators import rank
 from gleaner.operators.embed import auto_embed
-from gleaner.session import table
+from gleaner.session import local_table, table
 from gleaner.workload import oracle
 from gleaner.workload.base import DOCUMENTS, documents, query, rounded, sql_rounded, vectors
 from gleaner.workload.text import document_hits
@@ -61,7 +61,7 @@ _BY_ID = f"(SELECT query_id, w.id AS self, v FROM {oracle.values(IDS)} w(query_i
     FROM (SELECT query_id, b.id, {_COS} AS d FROM {_BY_ID} a, {_DOCS} b WHERE b.id <> a.self)) WHERE rank <= 15""",
 )
 def knn_by_id(spark, sf):
-    wanted = spark.createDataFrame(IDS, "query_id string, id string")
+    wanted = local_table(spark, IDS, "query_id string, id string")
     return _shown(nn.knn_by_id(vectors(spark, sf), wanted, 15))
 
 
