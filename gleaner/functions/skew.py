@@ -13,6 +13,16 @@ GROUP_LIMIT = 1000
 SALTS = 64
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A table read in fewer pieces than there are cores, dealt out to all of them.
+
+    Meant for plain scans before costly work per row, such as cutting texts
+    into tokens. A table of many files is left as it is read.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """The first ``n`` rows per key, numbered from 1.
 

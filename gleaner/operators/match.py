@@ -218,56 +218,81 @@ def _complete_alternatives(found: DataFrame, columns: list[str]) -> DataFrame:
     return single.unionByName(several.select(*columns))
 
 
+def _uses(how: Match) -> tuple[bool, bool]:
+    """Whether typos can occur, and whether infixes are a fallback."""
+    typos = any((how.per_field(how.num_typos, n) or 0) > 0 for n in how.fields)
+    fallback = any(how.per_field(how.infix, n) == "fallback" for n in how.fields)
+    return typos, fallback
+
+
 def _score(found: DataFrame, how: Match, wide: bool) -> DataFrame:
+    """One row per (query, document): matched slots as masks, then scores and levels.
+
+    Only the masks that the options can tell apart are aggregated.
+    """
+    typos, fallback = _uses(how)
+    levels = (0, 1, 2) if typos else (0,)
     bit = _bit(F.col("slot"))
     keys = ["query_id", "id"] + (["block"] if wide else [])
     if wide:
         found = found.withColumn("block", F.floor(F.col("slot") / MASK_BITS))
-    ranked = F.lit(True) if how.ranking_tokens is None else F.col("slot") < how.ranking_tokens
-
-    aggs = [
-        F.bit_or(F.when((F.col("infix") == 0) & (F.col("cost") == 0), bit).otherwise(0)).alias("u0"),
-        F.bit_or(F.when((F.col("infix") == 0) & (F.col("cost") <= 1), bit).otherwise(0)).alias("u1"),
-        F.bit_or(F.when(F.col("infix") == 0, bit).otherwise(0)).alias("u2"),
-        F.bit_or(bit).alias("any"),
-        F.max("n_tokens").alias("n_tokens"),
-        F.max("query_hash").alias("query_hash"),
-    ]
+    if how.prioritize_exact_match:
+        same = (F.col("field_hash") == F.col("query_hash")) & (F.col("field_length") == F.col("n_tokens"))
+        found = found.withColumn("same", same)
+
+    def mask(condition: Column | None, level: int) -> Column:
+        if level < levels[-1]:
+            close = F.col("cost") <= level
+            condition = close if condition is None else condition & close
+        return F.bit_or(bit if condition is None else F.when(condition, bit).otherwise(0))
+
+    strict = F.col("infix") == 0 if fallback else None
+    aggs = {f"u{level}": mask(strict, level) for level in levels}
+    aggs["any"] = F.bit_or(bit)
+    aggs["n_tokens"] = F.max("n_tokens")
     for i, name in enumerate(how.fields):
-        here = (F.col("field") == name) & ranked
-        for level in (0, 1, 2):
-            aggs.append(F.bit_or(F.when(here & (F.col("cost") <= level), bit).otherwise(0)).alias(f"m{level}_{i}"))
-        aggs.append(F.min(F.when(here, F.col("pos"))).alias(f"pos_{i}"))
-        aggs.append(F.max(F.when(F.col("field") == name, F.col("field_hash"))).alias(f"hash_{i}"))
-        aggs.append(F.max(F.when(F.col("field") == name, F.col("field_length"))).alias(f"length_{i}"))
-        aggs.append(F.max((F.col("field") == name).cast("int")).alias(f"in_{i}"))
-    masks = found.groupBy(*keys).agg(*aggs)
-
-    def cost_of(zero, one, two):
-        return _ones(one) - _ones(zero) + 2 * (_ones(two) - _ones(one))
+        here = None if len(how.fields) == 1 else F.col("field") == name
+        if here is not None:
+            aggs[f"in_{i}"] = F.max(here.cast("int"))
+        else:
+            aggs[f"in_{i}"] = F.max(F.lit(1))
+        if how.prioritize_exact_match:
+            aggs[f"same_{i}"] = F.max("same" if here is None else F.when(here, F.col("same")))
+        if how.ranking_tokens is not None:
+            early = F.col("slot") < how.ranking_tokens
+            here = early if here is None else here & early
+        for level in levels:
+            aggs[f"m{level}_{i}"] = mask(here, level)
+        if how.prioritize_token_position:
+            aggs[f"pos_{i}"] = F.min("pos" if here is None else F.when(here, F.col("pos")))
+    masks = found.groupBy(*keys).agg(*[column.alias(name) for name, column in aggs.items()])
 
+    def cost_of(prefix: str, suffix: str = "") -> Column:
+        if not typos:
+            return F.lit(0)
+        zero, one, two = (_ones(F.col(f"{prefix}{level}{suffix}")) for level in levels)
+        return one - zero + 2 * (two - one)
+
+    last = levels[-1]
     parts = {
-        "matched": _ones(F.col("u2")),
+        "matched": _ones(F.col(f"u{last}")),
         "matched_any": _ones(F.col("any")),
-        "cost": cost_of(F.col("u0"), F.col("u1"), F.col("u2")),
-        "lead": _leading(F.col("u2")),
+        "cost": cost_of("u"),
+        "lead": _leading(F.col(f"u{last}")),
         "lead_any": _leading(F.col("any")),
     }
     for i in range(len(how.fields)):
-        m0, m1, m2 = (F.col(f"m{level}_{i}") for level in (0, 1, 2))
-        parts[f"tokens_{i}"] = _ones(m2)
-        parts[f"cost_{i}"] = cost_of(m0, m1, m2)
+        parts[f"tokens_{i}"] = _ones(F.col(f"m{last}_{i}"))
+        parts[f"cost_{i}"] = cost_of("m", f"_{i}")
     counted = masks.withColumns(parts)
     if wide:
         counted = _join_blocks(counted, how)
-
     return counted.select("query_id", "id", "n_tokens", *_scores(how), *_levels())
 
 
 def _join_blocks(counted: DataFrame, how: Match) -> DataFrame:
     """Sum the masks of queries longer than one mask; one row per 62 tokens of a query."""
-    aggs = [F.sum(c).alias(c) for c in ("matched", "matched_any", "cost")]
-    aggs += [F.max(c).alias(c) for c in ("n_tokens", "query_hash")]
+    aggs = [F.sum(c).alias(c) for c in ("matched", "matched_any", "cost")] + [F.max("n_tokens").alias("n_tokens")]
     for lead in ("lead", "lead_any"):
         blocks = F.sort_array(F.collect_list(F.struct("block", F.col(lead).cast("long").alias("lead"))))
         run = F.aggregate(
@@ -276,9 +301,9 @@ def _join_blocks(counted: DataFrame, how: Match) -> DataFrame:
         )
         aggs.append(run.alias(lead))
     for i in range(len(how.fields)):
-        aggs += [F.sum(f"tokens_{i}").alias(f"tokens_{i}"), F.sum(f"cost_{i}").alias(f"cost_{i}"),
-                 F.min(f"pos_{i}").alias(f"pos_{i}"), F.max(f"hash_{i}").alias(f"hash_{i}"),
-                 F.max(f"length_{i}").alias(f"length_{i}"), F.max(f"in_{i}").alias(f"in_{i}")]
+        aggs += [F.sum(c).alias(c) for c in (f"tokens_{i}", f"cost_{i}")]
+        aggs += [F.max(c).alias(c) for c in (f"in_{i}", f"same_{i}") if c in counted.columns]
+        aggs += [F.min(c).alias(c) for c in (f"pos_{i}",) if c in counted.columns]
     return counted.groupBy("query_id", "id").agg(*aggs)
 
 
@@ -292,8 +317,7 @@ def _scores(how: Match) -> list[Column]:
             + F.lit(1_000_000).cast("long") * (9 - F.least(F.lit(9), F.col(f"cost_{i}")))
         )
         if how.prioritize_exact_match:
-            same = (F.col(f"hash_{i}") == F.col("query_hash")) & (F.col(f"length_{i}") == F.col("n_tokens"))
-            value = value + F.lit(100_000).cast("long") * F.coalesce(same, F.lit(False)).cast("int")
+            value = value + F.lit(100_000).cast("long") * F.coalesce(f"same_{i}", F.lit(False)).cast("int")
         if how.prioritize_token_position:
             value = value + F.lit(100).cast("long") * (999 - F.least(F.lit(999), F.col(f"pos_{i}")))
         per_field.append(F.when(hit, value))
@@ -345,8 +369,7 @@ def _relax(scored: DataFrame, how: Match) -> DataFrame:
     out = ["query_id", "id", "score", "weight", "matched_fields", "typo_cost", "dropped"]
     hits = scored.filter(F.col("dropped") < F.col("n_tokens"))
     can_drop = how.drop_tokens_threshold > 0
-    infix_used = any(how.per_field(how.infix, n) == "fallback" for n in how.fields)
-    typos_used = any((how.per_field(how.num_typos, n) or 0) > 0 for n in how.fields)
+    typos_used, infix_used = _uses(how)
     if not can_drop:
         hits = hits.filter("dropped = 0")
     if not (can_drop or infix_used or typos_used):

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.functions.skew import spread
 from gleaner.session import local_table, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,7 +42,7 @@ def products(spark, sf):
 
 
 def documents(spark, sf):
-    return keyed(spark, sf, "documents", "doc_id")
+    return spread(keyed(spark, sf, "documents", "doc_id"))
 
 
 def benchmark(spark, sf):
