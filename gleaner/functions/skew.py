@@ -10,7 +10,8 @@ from gleaner.session import work_root
 # Spark cuts rows before the shuffle only for windows limited to this many rows
 # (spark.sql.optimizer.windowGroupLimitThreshold, default 1000).
 GROUP_LIMIT = 1000
-SALTS = 64
+# Rows (some 100 bytes each) that may be sent to every task.
+BROADCAST_ROWS = 200_000
 
 
 def spread(scan: DataFrame) -> DataFrame:
@@ -27,13 +28,13 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str
     """The first ``n`` rows per key, numbered from 1.
 
     Up to GROUP_LIMIT rows, Spark keeps at most ``n`` rows per key and task
-    before shuffling. For larger ``n`` the same cut is made per salted key first.
+    before shuffling. For larger ``n`` the same cut is made per key and input
+    task first.
     """
     if n > GROUP_LIMIT:
-        salt = F.spark_partition_id() % SALTS
         slices = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = (
-            df.withColumn("_salt", salt)
+            df.withColumn("_salt", F.spark_partition_id())
             .withColumn("_slice_rank", F.row_number().over(slices))
             .filter(F.col("_slice_rank") <= n)
             .drop("_salt", "_slice_rank")
@@ -43,11 +44,11 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str
 
 
 def top_by(df: DataFrame, keys: list[str], order: list[Column], limit: str, rank: str = "rank") -> DataFrame:
-    """Like ``top_n`` with the limit taken from a column; salted keys are cut first."""
+    """Like ``top_n`` with the limit taken from a column; each input task cuts first."""
     slices = Window.partitionBy(*keys, "_salt").orderBy(*order)
     whole = Window.partitionBy(*keys).orderBy(*order)
     return (
-        df.withColumn("_salt", F.spark_partition_id() % SALTS)
+        df.withColumn("_salt", F.spark_partition_id())
         .withColumn("_slice_rank", F.row_number().over(slices))
         .filter(F.col("_slice_rank") <= F.col(limit))
         .withColumn(rank, F.row_number().over(whole))
@@ -95,5 +96,18 @@ def chunk_numbers(df: DataFrame, keys: list[str], spread_by: list[str], size: in
         .withColumn("_parts", F.ceil(F.col("_rows") / size))
         .drop("_rows")
     )
+    heavy, found = broadcast_checked(heavy)
+    if not found:
+        return df.withColumn(name, F.lit(0))
     part = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_parts")), F.lit(0)).cast("int")
     return df.join(heavy, keys, "left").withColumn(name, part).drop("_parts")
+
+
+def broadcast_checked(df: DataFrame, most: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
+    """The rows with a broadcast hint if their counted number allows it; and that number.
+
+    The counted rows are kept, so they are not computed a second time.
+    """
+    df = df.persist()
+    rows = df.count()
+    return (F.broadcast(df) if rows <= most else df), rows

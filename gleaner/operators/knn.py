@@ -33,22 +33,42 @@ def _distances(queries: np.ndarray, docs: np.ndarray, metric: str) -> np.ndarray
     return 1.0 - np.divide(dots, lengths, out=np.zeros_like(dots), where=lengths > 0)
 
 
-def _nearest_in_task(names: list[str], matrix: np.ndarray, k: int, metric: str, threshold: float | None):
+def _pairs(measured: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, document) positions up to the k-th distance; ties are settled by id later."""
+    if measured.shape[1] <= k:
+        return np.nonzero(np.ones_like(measured, dtype=bool))
+    kth = np.partition(measured, k - 1, axis=1)[:, k - 1 : k]
+    return np.nonzero(measured <= kth)
+
+
+def _nearest_in_task(
+    names: list[str], matrix: np.ndarray, k: int, metric: str, threshold: float | None = None,
+    probing: dict[int, np.ndarray] | None = None,
+):
+    """Scan of a task's vectors that keeps the k best per query.
+
+    ``probing`` maps a cell to the queries that look into it; without it
+    every query sees every vector.
+    """
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: pd.DataFrame | None = None
         for batch in batches:
             if not len(batch):
                 continue
-            docs = np.stack(batch["vector"].to_numpy()).astype(np.float64)
-            ids = batch["id"].to_numpy()
-            measured = np.round(_distances(matrix, docs, metric), DIGITS) + 0.0
-            if len(ids) > k:
-                # Everything up to the k-th distance, so that ties are settled by id.
-                kth = np.partition(measured, k - 1, axis=1)[:, k - 1 : k]
-                q, d = np.nonzero(measured <= kth)
-            else:
-                q, d = np.nonzero(np.ones_like(measured, dtype=bool))
-            new = pd.DataFrame({"q": q, "id": ids[d], "distance": measured[q, d]})
+            found = []
+            blocks = [(None, batch)] if probing is None else batch.groupby("cell")
+            for cell, rows in blocks:
+                asking = np.arange(len(names)) if cell is None else probing.get(int(cell))
+                if asking is None:
+                    continue
+                docs = np.stack(rows["vector"].to_numpy()).astype(np.float64)
+                measured = np.round(_distances(matrix[asking], docs, metric), DIGITS) + 0.0
+                q, d = _pairs(measured, k)
+                found.append(pd.DataFrame({"q": asking[q], "id": rows["id"].to_numpy()[d], "distance": measured[q, d]}))
+            if not found:
+                continue
+            new = pd.concat(found)
             if threshold is not None:
                 new = new[new["distance"] <= threshold]
             merged = new if best is None else pd.concat([best, new])
@@ -151,24 +171,46 @@ def probe_cells(queries: DataFrame, model, probes: int, metric: str = "cosine")
 
 
 def knn_cells(
-    placed: DataFrame, queries: DataFrame, model, k: int, probes: int, metric: str = "cosine", salts: int = 8
+    placed: DataFrame, queries: DataFrame, model, k: int, probes: int, metric: str = "cosine",
+    most: int = QUERIES_PER_SCAN, salts: int = 64,
 ) -> DataFrame:
     """Approximate neighbours: only the ``probes`` cells nearest to a query are compared.
 
-    Documents meet queries through an equi-join on the cell. A cell may hold a
-    large share of all vectors, so each is split into ``salts`` sub-cells and
-    the (few) query rows are repeated for them.
+    Up to ``most`` queries travel to the tasks, and the cells they name are
+    scanned in place. More queries meet the vectors in a join on the cell; a
+    cell may hold a large share of all vectors, so each is split into
+    ``salts`` sub-cells and the query rows are repeated for them.
     """
-    probed = probe_cells(queries, model, probes, metric).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    probed = probe_cells(queries, model, probes, metric)
+    first = queries.limit(most + 1).count()
+    if first <= most:
+        return _knn_scanned_cells(placed, probed, k, metric)
     salted = placed.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
-    measured = salted.join(probed, ["cell", "salt"]).select(
+    repeated = probed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    measured = salted.join(repeated, ["cell", "salt"]).select(
         "query_id", "id", F.round(distance(F.col("query_vector"), F.col("vector"), metric), DIGITS).alias("distance")
     )
     return top_n(measured, ["query_id"], [F.col("distance").asc(), F.col("id").asc()], k)
 
 
+def _knn_scanned_cells(placed: DataFrame, probed: DataFrame, k: int, metric: str) -> DataFrame:
+    names: dict[str, int] = {}
+    rows, probing = [], {}
+    for row in probed.toLocalIterator():
+        if row["query_id"] not in names:
+            names[row["query_id"]] = len(names)
+            rows.append(np.asarray(row["query_vector"], dtype=np.float64))
+        probing.setdefault(row["cell"], []).append(names[row["query_id"]])
+    schema = "query_id string, id string, distance double"
+    if not rows:
+        return local_table(placed.sparkSession, [], schema + ", rank int")
+    probing = {cell: np.asarray(asking) for cell, asking in probing.items()}
+    run = _nearest_in_task(list(names), np.stack(rows), k, metric, probing=probing)
+    near = placed.filter(F.col("cell").isin(*probing)).select("id", "vector", "cell")
+    local = near.mapInPandas(run, schema)
+    return top_n(local, ["query_id"], [F.col("distance").asc(), F.col("id").asc()], k)
+
+
 def fuse(text: DataFrame, near: DataFrame, text_weight: float = 0.5, vector_weight: float = 0.5, constant: int = 60) -> DataFrame:
     """Weighted reciprocal-rank fusion of two ranked lists (query_id, id, rank)."""
     a = text.select("query_id", "id", F.col("rank").alias("text_rank"))

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.functions.skew import BROADCAST_ROWS
 from gleaner.functions.text import (
     gram_key, gram_keys, prefix_key, prefix_keys, segment_keys, segment_probes, tokens,
 )
@@ -16,8 +17,6 @@ from gleaner.operators.postings import vocabulary
 
 # Query tokens per bit mask; longer queries use several masks.
 MASK_BITS = 62
-# Candidate tokens (some 100 bytes each) that may be broadcast.
-BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)

@@ -85,7 +85,7 @@ def score_buckets(hits: DataFrame, buckets: int, order: list[Column] | None = No
     """
     order = order or [desc("score")]
     ranked = ordinals(hits, ["query_id"], [*order, F.col("id").asc()], "_position")
-    totals = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("_total"))
+    totals = ranked.groupBy("query_id").agg(F.max("_position").alias("_total"))
     small = F.floor(F.col("_total") / buckets)
     larger = F.col("_total") % buckets
     position = F.col("_position") - 1
@@ -116,6 +116,7 @@ def group_hits(
     """
     if not include_missing:
         hits = hits.filter(F.col(field).isNotNull())
+    hits = hits.persist()  # read for the groups and again for their sizes
     order = [*order, F.col("id").asc()]
     counted = hits if max_candidates is None else top_n(hits, ["query_id"], order, max_candidates, "_n")
     sizes = counted.groupBy("query_id", field).agg(F.count(F.lit(1)).alias("group_found"))

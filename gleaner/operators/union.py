@@ -54,7 +54,7 @@ def drop_near_copies(hits: DataFrame, text: str, order: list[Column], similarity
     Works on the result window of a query (at most 250 hits, the largest page)
     after exact copies are gone; whole texts are compared.
     """
-    shown = top_n(drop_copies(hits, text, order), ["query_id"], order, window)
+    shown = top_n(drop_copies(hits, text, order), ["query_id"], order, window).persist()
     columns = [c for c in shown.columns if c != "rank"]
     # Tokens become a column first: inside a lambda they would be made anew per shingle.
     worded = shown.withColumn("_tokens", tokens(F.col(text)))

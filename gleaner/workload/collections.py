@@ -138,7 +138,8 @@ def schema_diff(spark, sf):
     """Differences of two declarations, with the number of documents concerned."""
     live, new = _changed(spark, sf)
     changes = s.diff(s.field_table(spark, [new]), s.field_table(spark, [live]))
-    return changes.join(s.profile([("orders", table(spark, sf, "orders"))]).select("documents"), F.lit(True))
+    counts = s.profile([("orders", table(spark, sf, "orders"))]).select("collection", "documents")
+    return changes.withColumn("collection", F.lit("orders")).join(counts, "collection").drop("collection")
 
 
 @query("schema_apply", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CAST(NULL AS VARCHAR) AS o_comment FROM orders")
@@ -199,8 +200,7 @@ def reindex_summary(spark, sf):
     """Full re-index into a store; the tally beside the documents then live."""
     store = Store(spark, work_path(spark, "reindex"))
     report = reindex(store, labelled(spark, sf), PLAIN, "labelled_v1")
-    live = store.read("labelled").agg(F.count(F.lit(1)).alias("live"))
-    return report.join(live, F.lit(True))
+    return report.withColumn("live", F.lit(store.read("labelled").count()).cast("long"))
 
 
 @query(
