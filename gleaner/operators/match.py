@@ -17,6 +17,8 @@ from gleaner.operators.postings import vocabulary
 
 # Query tokens per bit mask; longer queries use several masks.
 MASK_BITS = 62
+# Masks kept side by side per query; still longer queries take one row per mask.
+MASKS = 8
 
 
 @dataclass(frozen=True)
@@ -155,10 +157,6 @@ def needs_vocabulary(how: Match) -> bool:
     )
 
 
-def _ones(mask: Column) -> Column:
-    return F.bit_count(mask)
-
-
 def _leading(mask: Column) -> Column:
     """Number of query tokens matched from the left without a gap."""
     return F.bit_count(F.shiftright(mask.bitwiseXOR(mask + 1), 1))
@@ -186,7 +184,7 @@ def search(postings: DataFrame, queries: DataFrame, how: Match, words: DataFrame
     ]
     if how.synonyms is not None and how.enable_synonyms:
         found = _complete_alternatives(found, columns)
-    scored = _score(found, how, wide=longest > MASK_BITS)
+    scored = _score(found, how, masks=max(1, -(-longest // MASK_BITS)))
     return _relax(scored, how)
 
 
@@ -224,73 +222,89 @@ def _uses(how: Match) -> tuple[bool, bool]:
     return typos, fallback
 
 
-def _score(found: DataFrame, how: Match, wide: bool) -> DataFrame:
+def _score(found: DataFrame, how: Match, masks: int) -> DataFrame:
     """One row per (query, document): matched slots as masks, then scores and levels.
 
-    Only the masks that the options can tell apart are aggregated.
+    Only the masks that the options can tell apart are aggregated. Queries of
+    more than 62 tokens have several masks in the row; beyond MASKS of them,
+    one row per mask is aggregated and the rows are summed.
     """
     typos, fallback = _uses(how)
     levels = (0, 1, 2) if typos else (0,)
+    last = levels[-1]
     bit = _bit(F.col("slot"))
-    keys = ["query_id", "id"] + (["block"] if wide else [])
-    if wide:
-        found = found.withColumn("block", F.floor(F.col("slot") / MASK_BITS))
+    block = F.floor(F.col("slot") / MASK_BITS)
+    by_row = masks > MASKS
+    keys = ["query_id", "id"] + (["block"] if by_row else [])
+    if by_row:
+        found, masks = found.withColumn("block", block), 1
     if how.prioritize_exact_match:
         same = (F.col("field_hash") == F.col("query_hash")) & (F.col("field_length") == F.col("n_tokens"))
         found = found.withColumn("same", same)
 
-    def mask(condition: Column | None, level: int) -> Column:
-        if level < levels[-1]:
-            close = F.col("cost") <= level
-            condition = close if condition is None else condition & close
-        return F.bit_or(bit if condition is None else F.when(condition, bit).otherwise(0))
+    aggs: dict[str, Column] = {}
+
+    def add_masks(name: str, condition: Column | None, level: int) -> None:
+        parts = [condition] if condition is not None else []
+        if level < last:
+            parts.append(F.col("cost") <= level)
+        for b in range(masks):
+            tests = parts + ([block == b] if masks > 1 else [])
+            aggs[f"{name}__{b}"] = F.bit_or(F.when(reduce(lambda x, y: x & y, tests), bit).otherwise(0) if tests else bit)
 
     strict = F.col("infix") == 0 if fallback else None
-    aggs = {f"u{level}": mask(strict, level) for level in levels}
-    aggs["any"] = F.bit_or(bit)
+    for level in levels:
+        add_masks(f"u{level}", strict, level)
+    add_masks("any", None, last)
     aggs["n_tokens"] = F.max("n_tokens")
     for i, name in enumerate(how.fields):
         here = None if len(how.fields) == 1 else F.col("field") == name
-        if here is not None:
-            aggs[f"in_{i}"] = F.max(here.cast("int"))
-        else:
-            aggs[f"in_{i}"] = F.max(F.lit(1))
+        aggs[f"in_{i}"] = F.max(F.lit(1) if here is None else here.cast("int"))
         if how.prioritize_exact_match:
             aggs[f"same_{i}"] = F.max("same" if here is None else F.when(here, F.col("same")))
         if how.ranking_tokens is not None:
             early = F.col("slot") < how.ranking_tokens
             here = early if here is None else here & early
         for level in levels:
-            aggs[f"m{level}_{i}"] = mask(here, level)
+            add_masks(f"m{level}_{i}", here, level)
         if how.prioritize_token_position:
             aggs[f"pos_{i}"] = F.min("pos" if here is None else F.when(here, F.col("pos")))
-    masks = found.groupBy(*keys).agg(*[column.alias(name) for name, column in aggs.items()])
+    grouped = found.groupBy(*keys).agg(*[column.alias(name) for name, column in aggs.items()])
+
+    def ones(name: str) -> Column:
+        return reduce(lambda x, y: x + y, [F.bit_count(F.col(f"{name}__{b}")) for b in range(masks)])
+
+    def leading(name: str) -> Column:
+        run = _leading(F.col(f"{name}__{masks - 1}"))
+        for b in reversed(range(masks - 1)):
+            here = _leading(F.col(f"{name}__{b}"))
+            run = F.when(here == MASK_BITS, here + run).otherwise(here)
+        return run
 
     def cost_of(prefix: str, suffix: str = "") -> Column:
         if not typos:
             return F.lit(0)
-        zero, one, two = (_ones(F.col(f"{prefix}{level}{suffix}")) for level in levels)
+        zero, one, two = (ones(f"{prefix}{level}{suffix}") for level in levels)
         return one - zero + 2 * (two - one)
 
-    last = levels[-1]
     parts = {
-        "matched": _ones(F.col(f"u{last}")),
-        "matched_any": _ones(F.col("any")),
+        "matched": ones(f"u{last}"),
+        "matched_any": ones("any"),
         "cost": cost_of("u"),
-        "lead": _leading(F.col(f"u{last}")),
-        "lead_any": _leading(F.col("any")),
+        "lead": leading(f"u{last}"),
+        "lead_any": leading("any"),
     }
     for i in range(len(how.fields)):
-        parts[f"tokens_{i}"] = _ones(F.col(f"m{last}_{i}"))
+        parts[f"tokens_{i}"] = ones(f"m{last}_{i}")
         parts[f"cost_{i}"] = cost_of("m", f"_{i}")
-    counted = masks.withColumns(parts)
-    if wide:
+    counted = grouped.withColumns(parts)
+    if by_row:
         counted = _join_blocks(counted, how)
     return counted.select("query_id", "id", "n_tokens", *_scores(how), *_levels())
 
 
 def _join_blocks(counted: DataFrame, how: Match) -> DataFrame:
-    """Sum the masks of queries longer than one mask; one row per 62 tokens of a query."""
+    """Sum the masks of very long queries; there is one row per 62 tokens of a query."""
     aggs = [F.sum(c).alias(c) for c in ("matched", "matched_any", "cost")] + [F.max("n_tokens").alias("n_tokens")]
     for lead in ("lead", "lead_any"):
         blocks = F.sort_array(F.collect_list(F.struct("block", F.col(lead).cast("long").alias("lead"))))

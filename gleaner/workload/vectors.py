@@ -88,7 +88,7 @@ def label_distances(spark, sf):
 def knn_ann(spark, sf):
     docs = vectors(spark, sf)
     model = nn.fit_cells(docs, 16)
-    found = nn.knn_cells(nn.assign_cells(docs, model), centres(spark, sf), model, 10, probes=6)
+    found = nn.knn_cells(nn.assign_cells(docs, model), centres(spark, sf), model, 10, probes=12)
     return _shown(found)
 
 

@@ -172,7 +172,9 @@ def test_prefix_only_for_the_last_token_and_per_field(spark):
     assert {i for _, i in title} == {"1"}
 
 
-def test_queries_longer_than_one_mask(spark):
+@pytest.mark.parametrize("masks", [8, 1])
+def test_queries_longer_than_one_mask(spark, monkeypatch, masks):
+    monkeypatch.setattr("gleaner.operators.match.MASKS", masks)
     many = [f"w{i}" for i in range(150)]
     rows = [("all", " ".join(many), ""), ("gap", " ".join(w for w in many if w != "w100"), ""), ("none", "x", "")]
     found = hits(spark, rows, [("q", " ".join(many)), ("short", "x")])
@@ -180,6 +182,23 @@ def test_queries_longer_than_one_mask(spark):
     assert found["q", "all"]["score"] == 150 * 100000000 + 9100000
     dropped = hits(spark, rows, [("q", " ".join(many))], drop_tokens_threshold=10)
     assert {i: r["dropped"] for (_, i), r in dropped.items()} == {"all": 0, "gap": 50}
+    assert dropped["q", "gap"]["score"] == 149 * 100000000 + 9000000
+
+
+@pytest.mark.parametrize("masks", [8, 1])
+def test_long_queries_over_two_fields_with_typos(spark, monkeypatch, masks):
+    monkeypatch.setattr("gleaner.operators.match.MASKS", masks)
+    many = [f"{'abcdefgh'[i % 8] * 2}{'abcdefgh'[i // 8 % 8] * 2}{'xyzuv'[i // 64] * 2}long" for i in range(130)]
+    near = " ".join(many[:100] + [many[100] + "q"] + many[101:])
+    rows = [("split", " ".join(many[:70]), " ".join(many[70:])), ("typo", near, ""), ("half", "", " ".join(many[:63]))]
+    found = hits(
+        spark, rows, [("q", " ".join(many))], fields=("title", "body"), num_typos=1, typo_tokens_threshold=9,
+        drop_tokens_threshold=9, text_match_type="sum_score", prioritize_token_position=True,
+    )
+    assert {i: r["dropped"] for (_, i), r in found.items()} == {"split": 0, "typo": 0, "half": 67}
+    assert found["q", "split"]["typo_cost"] == 0 and found["q", "typo"]["typo_cost"] == 1
+    # Both fields count for the split text; its words are all there.
+    assert found["q", "split"]["score"] == 130 * 100000000 + 2 * 9000000 + 2 * 99900
 
 
 def test_a_hot_token_and_many_queries_without_broadcast(spark, monkeypatch):
