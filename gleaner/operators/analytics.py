@@ -31,14 +31,14 @@ def parse_events(raw: DataFrame, body: str = "body") -> tuple[DataFrame, DataFra
     return good, judged.filter("error is not null").select(*others, body, "error")
 
 
-def popular_queries(log: DataFrame, limit: int, keys: list[str] | None = None) -> DataFrame:
-    """Most frequent queries with their counts; ties go to the smaller text."""
+def popular_queries(log: DataFrame, limit: int | None = None, keys: list[str] | None = None) -> DataFrame:
+    """Most frequent queries with their counts, all without a limit; ties go to the smaller text."""
     keys = keys or []
     counts = log.groupBy(*keys, "q").agg(F.count(F.lit(1)).alias("count"))
-    return _most_frequent(counts, keys, limit)
+    return counts if limit is None else _most_frequent(counts, keys, limit)
 
 
-def nohits_queries(log: DataFrame, limit: int, keys: list[str] | None = None) -> DataFrame:
+def nohits_queries(log: DataFrame, limit: int | None = None, keys: list[str] | None = None) -> DataFrame:
     return popular_queries(log.filter("found = 0"), limit, keys)
 
 

@@ -19,7 +19,7 @@ from gleaner.session import local_table
 QUERIES_PER_SCAN = 2048
 # Distances are ranked at this precision, so that the order of summation does not matter.
 DIGITS = 9
-MAX_DIVERSIFIED = 250
+DIVERSIFIED = 250
 
 
 def _distances(queries: np.ndarray, docs: np.ndarray, metric: str) -> np.ndarray:
@@ -221,13 +221,13 @@ def fuse(text: DataFrame, near: DataFrame, text_weight: float = 0.5, vector_weig
     )
 
 
-def diversify(candidates: DataFrame, k: int, balance: float = 0.5) -> DataFrame:
+def diversify(candidates: DataFrame, k: int, balance: float = 0.5, depth: int = DIVERSIFIED) -> DataFrame:
     """Greedy choice of relevant but different hits (maximal marginal relevance).
 
-    ``candidates`` holds (query_id, id, distance, vector, rank), at most 250
-    per query: the greedy loop runs over one result page, not over all hits.
+    ``candidates`` is a ranked list (query_id, id, distance, vector, rank); its
+    first ``depth`` places are reordered, one result page by default.
     """
-    page = candidates.filter(F.col("rank") <= MAX_DIVERSIFIED).select("query_id", "id", "distance", "vector")
+    page = candidates.filter(F.col("rank") <= depth).select("query_id", "id", "distance", "vector")
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["distance", "id"]).reset_index(drop=True)

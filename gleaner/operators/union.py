@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.skew import best_per_key, top_n
 from gleaner.functions.text import tokens, word_shingles
+from gleaner.operators.rank import MAX_PER_PAGE
+from gleaner.session import work_root
 
+# Hits per query decided in one round.
 WINDOW = 250
+HIT = ["query_id", "_collection", "id"]
 
 
 def with_presets(requests: DataFrame, presets: DataFrame, params: list[str], common: dict | None = None,
@@ -48,20 +52,48 @@ def drop_copies(hits: DataFrame, text: str, order: list[Column]) -> DataFrame:
     return best_per_key(keyed, ["query_id", "_copy"], order).drop("_copy")
 
 
-def drop_near_copies(hits: DataFrame, text: str, order: list[Column], similarity: float = 0.8, window: int = WINDOW) -> DataFrame:
-    """Drop a hit when a better ranked one that is kept shares enough word 3-shingles (Jaccard).
+def drop_near_copies(
+    hits: DataFrame, text: str, order: list[Column], wanted: int = MAX_PER_PAGE,
+    similarity: float = 0.8, window: int = WINDOW,
+) -> DataFrame:
+    """The best ``wanted`` hits per query of which none is nearly the same as a better one.
 
-    Works on the result window of a query (at most 250 hits, the largest page)
-    after exact copies are gone; whole texts are compared.
+    A hit goes when it shares enough word 3-shingles (Jaccard, whole texts)
+    with a better ranked hit that stays. Each round decides one window of hits
+    per query, in order; the hits after it then lose, spread over all tasks,
+    those similar to what has been kept so far. Rounds go on for the queries
+    that still lack hits, so no candidate is left out and no group grows.
     """
-    shown = top_n(drop_copies(hits, text, order), ["query_id"], order, window).persist()
-    columns = [c for c in shown.columns if c != "rank"]
+    columns = hits.columns
+    left = drop_copies(hits, text, order)
+    rounds = []
+    kept: DataFrame | None = None
+    while True:
+        shown = top_n(left, ["query_id"], order, window, "_place").persist()
+        chosen = _first_of_similar(shown, text, similarity).persist()
+        rounds.append(shown.select(*columns).join(chosen.select(*HIT), HIT, "left_semi"))
+        kept = chosen if kept is None else kept.unionByName(chosen)
+        full = shown.groupBy("query_id").agg(F.count(F.lit(1)).alias("_seen")).filter(F.col("_seen") >= window)
+        have = kept.groupBy("query_id").agg(F.count(F.lit(1)).alias("_kept")).filter(F.col("_kept") < wanted)
+        lacking = full.join(have, "query_id").select("query_id").persist()
+        if lacking.isEmpty():
+            break
+        rest = left.join(lacking, "query_id", "left_semi").join(shown.select(*HIT), HIT, "left_anti")
+        work_root(hits.sparkSession)
+        left = _unlike(rest, kept, text, similarity).select(*columns).checkpoint()
+    return top_n(reduce(DataFrame.unionByName, rounds), ["query_id"], order, wanted).drop("rank")
+
+
+def _shingled(rows: DataFrame, text: str) -> DataFrame:
     # Tokens become a column first: inside a lambda they would be made anew per shingle.
-    worded = shown.withColumn("_tokens", tokens(F.col(text)))
-    slim = worded.withColumn("_shingles", word_shingles(F.col("_tokens"))).select("query_id", "_collection", "id", "rank", "_shingles")
+    return rows.withColumn("_tokens", tokens(F.col(text))).withColumn("_shingles", word_shingles(F.col("_tokens")))
+
+
+def _first_of_similar(shown: DataFrame, text: str, similarity: float) -> DataFrame:
+    """Greedy pass over one window per query; at most ``window`` rows come together."""
 
     def keep_first(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("rank")
+        rows = rows.sort_values("_place")
         kept, flags = [], []
         for shingles in rows["_shingles"]:
             mine = np.asarray(shingles, dtype=np.int64)
@@ -77,7 +109,23 @@ def drop_near_copies(hits: DataFrame, text: str, order: list[Column], similarity
             if not similar:
                 kept.append(mine)
             flags.append(not similar)
-        return rows.loc[flags, ["query_id", "_collection", "id"]]
+        return rows.loc[flags, [*HIT, "_shingles"]]
+
+    slim = _shingled(shown, text).select(*HIT, "_place", "_shingles")
+    return slim.groupBy("query_id").applyInPandas(
+        keep_first, "query_id string, _collection string, id string, _shingles array<long>"
+    )
+
+
+def _unlike(rest: DataFrame, kept: DataFrame, text: str, similarity: float) -> DataFrame:
+    """Hits that are not similar to a kept one; kept hits are few per query and listed beside it."""
+    lists = kept.groupBy("query_id").agg(F.collect_list("_shingles").alias("_kept"))
+    mine = F.size("_shingles")
+
+    def similar(other: Column) -> Column:
+        shared = F.size(F.array_intersect("_shingles", other))
+        close = F.least(mine, F.size(other)) >= similarity * F.greatest(mine, F.size(other))
+        return close & (shared >= similarity * (mine + F.size(other) - shared))
 
-    kept = slim.groupBy("query_id").applyInPandas(keep_first, "query_id string, _collection string, id string")
-    return shown.select(*columns).join(kept, ["query_id", "_collection", "id"], "left_semi")
+    joined = _shingled(rest, text).join(lists, "query_id")
+    return joined.filter(~F.exists("_kept", similar))

@@ -211,7 +211,7 @@ def nohits_words(spark, sf):
     batch = words.select(F.concat(F.lit("w"), "token").alias("query_id"), F.col("token").alias("q")).distinct()
     hits = search(postings(documents(spark, sf), ["text"]), batch, Match(("text",), **EXACT_ONLY))
     searched = batch.join(found(hits, batch), "query_id")
-    return analytics.nohits_queries(searched, 1_000_000)
+    return analytics.nohits_queries(searched)
 
 
 CONFIG = {

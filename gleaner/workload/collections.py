@@ -89,16 +89,21 @@ def schema_violations(spark, sf):
     return s.data_violations(labelled(spark, sf), LABELLED)
 
 
-@query("collection_create")
+@query(
+    "collection_create",
+    """SELECT * FROM (VALUES ('create', true, 0), ('create again', false, 0), ('fill', true, (SELECT count(*) FROM part)),
+    ('recreate', true, 0), ('drop', true, 0), ('drop missing', false, 0)) v(step, done, documents)""",
+)
 def collection_create(spark, sf):
     """Create, create again, fill, recreate and drop: what each step reports."""
     store = Store(spark, work_path(spark, "create"))
-    docs = products(spark, sf)
-    steps = [("create", store.create("products", docs.schema), store.read("products").count())]
-    steps.append(("create again", store.create("products", docs.schema), store.read("products").count()))
+    docs = products(spark, sf).drop("p_partkey")
+    schema = s.spark_schema(s.declared("products", docs, "id", p_brand={"facet": True}), docs)
+    steps = [("create", store.create("products", schema), store.read("products").count())]
+    steps.append(("create again", store.create("products", schema), store.read("products").count()))
     store.publish("products", "products_v2", docs)
     steps.append(("fill", True, store.read("products").count()))
-    store.recreate("products", docs.schema, "products_v3")
+    store.recreate("products", schema, "products_v3")
     steps.append(("recreate", True, store.read("products").count()))
     steps.append(("drop", store.drop("products"), 0))
     steps.append(("drop missing", store.drop("products"), 0))
@@ -231,7 +236,11 @@ def export_jsonl(spark, sf):
     return spark.read.schema("id string, lang string, n_chars long").json(path)
 
 
-@query("alias_swap")
+@query(
+    "alias_swap",
+    """SELECT 'documents_v1' AS version, NULL AS previous, count(*) AS documents FROM documents UNION ALL
+    SELECT 'documents_v2', 'documents_v1', count(*) FROM documents WHERE n_chars > 200""",
+)
 def alias_swap(spark, sf):
     """Two versions published under one name; what a swap returns and what readers see."""
     store = Store(spark, work_path(spark, "alias"))

@@ -251,7 +251,23 @@ def page_facts(spark, sf):
     return rank.page_facts(totals, 2, 30)
 
 
-@query("result_json")
+_BIG = "(SELECT CAST(p_partkey AS VARCHAR) AS id, * FROM part WHERE p_size > 10)"
+
+
+@query(
+    "result_json",
+    _sql(
+        """SELECT query_id, to_json(CASE WHEN l.hits IS NULL THEN NULL ELSE {'found': t.found, 'page': 1, 'hits': l.hits, 'facet_counts': v.facets} END) AS result
+        FROM t JOIN l USING (query_id) JOIN v USING (query_id) UNION ALL
+        SELECT query_id, '{"found":0,"page":1,"hits":[]}' FROM t WHERE found = 0""",
+        docs=_BIG,
+        extra=f""", t AS ({_FOUND}), p AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, p_retailprice, id) AS INTEGER) AS rank FROM h),
+        l AS (SELECT query_id, list({{'rank': rank, 'id': id, 'score': score, 'p_name': p_name, 'p_retailprice': p_retailprice}} ORDER BY rank) AS hits FROM p WHERE rank <= 10 GROUP BY 1),
+        c AS (SELECT query_id, p_brand AS value, count(*) AS n FROM h GROUP BY ALL),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY n DESC, value) AS INTEGER) AS rank FROM c),
+        v AS (SELECT query_id, list({{'field': 'p_brand', 'rank': rank, 'value': value, 'n': n}} ORDER BY rank) AS facets FROM r WHERE rank <= 10 GROUP BY 1)""",
+    ),
+)
 def result_json(spark, sf):
     queries = requests(spark, PRODUCT_QUERIES)
     found = run(

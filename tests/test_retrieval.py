@@ -176,7 +176,8 @@ def test_copies_and_near_copies(spark):
     assert {r["id"] for r in union.drop_near_copies(hits, "text", order, similarity=0.99).collect()} == {"a", "c", "d", "e"}
 
 
-def test_near_copies_against_brute_force(spark):
+@pytest.mark.parametrize("wanted, window", [(250, 250), (60, 5), (7, 3), (1, 1)])
+def test_near_copies_against_brute_force(spark, wanted, window):
     rnd = random.Random(4)
     base = [rnd.choice("abcdefgh") * rnd.randint(1, 2) for _ in range(40)]
     texts = []
@@ -193,8 +194,8 @@ def test_near_copies_against_brute_force(spark):
             kept.append((f"d{n:02d}", mine))
     rows = [("q", "c", f"d{n:02d}", 100 - n, " ".join(t)) for n, t in enumerate(texts)]
     hits = local_table(spark, rows, "query_id string, _collection string, id string, score int, text string")
-    got = union.drop_near_copies(hits, "text", [desc("score"), F.col("id").asc()])
-    assert {r["id"] for r in got.collect()} == {d for d, _ in kept}
+    got = union.drop_near_copies(hits, "text", [desc("score"), F.col("id").asc()], wanted, window=window)
+    assert {r["id"] for r in got.collect()} == {d for d, _ in kept[:wanted]}
 
 
 def test_whole_search_and_json(spark):
