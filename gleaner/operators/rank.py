@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.functions.skew import ordinals, top_n
+from gleaner.functions.skew import broadcast_checked, ordinals, top_n
 
 PER_PAGE = 10
 MAX_PER_PAGE = 250
@@ -54,6 +54,16 @@ def page(
     return top_n(hits, ["query_id"], [*order, F.col("id").asc()], max(end, 0)).filter(F.col("rank") > start)
 
 
+def attach(shown: DataFrame, docs: DataFrame) -> DataFrame:
+    """Document columns for the rows of a page.
+
+    The page is counted and sent to the documents, so whole texts are not
+    shuffled to meet a few rows; a page too large for that is joined as usual.
+    """
+    rows, _ = broadcast_checked(shown)
+    return docs.join(rows, "id")
+
+
 def found(hits: DataFrame, queries: DataFrame) -> DataFrame:
     """Total matches per query, 0 for a query without any."""
     counts = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("found"))

@@ -46,10 +46,14 @@ def normal_text(text: Column) -> Column:
     return F.array_join(tokens(text), " ")
 
 
-def drop_copies(hits: DataFrame, text: str, order: list[Column]) -> DataFrame:
-    """Of hits with the same words in the same order keep the best ranked."""
-    keyed = hits.withColumn("_copy", F.md5(normal_text(F.col(text))))
-    return best_per_key(keyed, ["query_id", "_copy"], order).drop("_copy")
+def fingerprint(text: Column) -> Column:
+    """Equal for texts with the same words in the same order; taken where the text is read."""
+    return F.md5(normal_text(text))
+
+
+def drop_copies(hits: DataFrame, order: list[Column], by: str = "fingerprint") -> DataFrame:
+    """Of hits with the same fingerprint keep the best ranked."""
+    return best_per_key(hits, ["query_id", by], order)
 
 
 def drop_near_copies(
@@ -65,7 +69,7 @@ def drop_near_copies(
     that still lack hits, so no candidate is left out and no group grows.
     """
     columns = hits.columns
-    left = drop_copies(hits, text, order)
+    left = drop_copies(hits.withColumn("_copy", fingerprint(F.col(text))), order, "_copy").drop("_copy")
     rounds = []
     kept: DataFrame | None = None
     while True:

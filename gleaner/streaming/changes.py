@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from gleaner.functions.skew import best_per_key
+from gleaner.functions.skew import BROADCAST_ROWS, best_per_key, broadcast_checked
 
 CHANGE = "op string, collection string, id string, seq long, ts timestamp"
 
@@ -23,14 +23,20 @@ def newest(changes: DataFrame) -> DataFrame:
 
 
 def refetch(changes: DataFrame, current: DataFrame) -> DataFrame:
-    """Upserts with the row as it is now; a row that is gone since gives no document."""
-    return newest(changes).filter("op = 'upsert'").select("id", "seq").join(current, "id")
+    """Upserts with the row as it is now; a row that is gone since gives no document.
+
+    The changed ids are counted and sent to the source, which is not shuffled
+    for a batch of usual size.
+    """
+    wanted, _ = broadcast_checked(newest(changes).filter("op = 'upsert'").select("id", "seq"))
+    return current.join(wanted, "id")
 
 
 def _write_batch(log_path: str, documents: Callable[[], DataFrame]) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, epoch: int) -> None:
         last = newest(batch).persist()
-        upserts = last.filter("op = 'upsert'").select("id", "seq", "op").join(documents(), "id")
+        ids = last.filter("op = 'upsert'").select("id", "seq", "op")
+        upserts = documents().join(F.broadcast(ids) if last.count() <= BROADCAST_ROWS else ids, "id")
         deletes = last.filter("op = 'delete'").select("id", "seq", "op")
         rows = upserts.unionByName(deletes, allowMissingColumns=True)
         # A replayed batch overwrites itself: the log never holds a batch twice.

@@ -22,16 +22,17 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
         (
             "products", products(spark, sf).withColumnsRenamed({"p_name": "title"}), requests(spark, ON_PRODUCTS),
             Match(("title", "p_type")), "p_brand", gt("p_size", 10),
-            (desc("score"), asc("p_retailprice")), "title",
+            (desc("score"), asc("p_retailprice")), "p_retailprice", "title",
         ),
         (
             "documents", documents(spark, sf), requests(spark, ON_DOCUMENTS),
-            Match(("text",), num_typos=0), "lang", None, (desc("score"), desc("n_chars")), "text",
+            Match(("text",), num_typos=0), "lang", None, (desc("score"), desc("n_chars")), "n_chars", "text",
         ),
     ]
     out = None
-    for name, docs, queries, how, facet, where, order, shown in parts:
-        found = run(docs, queries, how, Page(order=order, facet_by=(facet,), max_facet_values=1000), where)
+    for name, docs, queries, how, facet, where, order, sort_by, shown in parts:
+        page = Page(order=order, sort_by=(sort_by,), facet_by=(facet,), max_facet_values=1000)
+        found = run(docs, queries, how, page, where)
         marked = found.hits.join(query_marks(queries), "query_id")
         counts = found.facets.select("query_id", F.col("value").alias("facet"), F.col("n").alias("facet_count"))
         rows = marked.withColumn("facet", F.col(facet).cast("string")).join(counts, ["query_id", "facet"], "left").select(

@@ -272,7 +272,7 @@ def result_json(spark, sf):
     queries = requests(spark, PRODUCT_QUERIES)
     found = run(
         products(spark, sf).select(*PRODUCT_COLUMNS), queries, Match(("p_name", "p_type"), **EXACT_ONLY),
-        Page(order=(rank.desc("score"), rank.asc("p_retailprice")), facet_by=("p_brand",)), gt("p_size", 10),
+        Page(order=(rank.desc("score"), rank.asc("p_retailprice")), sort_by=("p_retailprice",), facet_by=("p_brand",)), gt("p_size", 10),
     )
     return as_json(found, ["p_name", "p_retailprice"])
 
@@ -372,5 +372,5 @@ def assembled_page(spark, sf):
     docs = products(spark, sf).select(*PRODUCT_COLUMNS).filter(gt("p_size", 10))
     hits = product_hits(spark, sf, PRODUCT_QUERIES, where=gt("p_size", 10))
     order = (rank.desc("score"), rank.asc("p_retailprice"))
-    found = assemble(hits, docs, requests(spark, PRODUCT_QUERIES), Page(order=order))
+    found = assemble(hits, docs, requests(spark, PRODUCT_QUERIES), Page(order=order, sort_by=("p_retailprice",)))
     return found.hits.select("query_id", "id", "score", "p_brand", "rank")

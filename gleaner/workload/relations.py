@@ -111,13 +111,14 @@ def _union(extra):
     a AS (SELECT 'documents' AS _collection, d.*, x.text FROM d JOIN {DOCUMENTS} x USING (id) UNION ALL SELECT 'benchmark', b.*, x.text FROM b JOIN {BENCHMARK} x USING (id)) {extra}"""
 
 
-def union_hits(spark, sf):
+def union_hits(spark, sf, column="text"):
+    """Hits of both collections with one column of their documents."""
     queries = requests(spark, UNION_QUERIES)
     how = Match(("text",), **EXACT_ONLY)
     parts = {}
     for name, docs in (("documents", documents(spark, sf)), ("benchmark", benchmark(spark, sf))):
         hits = search(postings(docs, ["text"]), queries, how)
-        parts[name] = hits.join(docs.select("id", "text"), "id")
+        parts[name] = hits.join(docs.select("id", column), "id")
     return union.merge(parts)
 
 
@@ -140,7 +141,8 @@ def union_search(spark, sf):
 )
 def union_dedup(spark, sf):
     order = [rank.desc("score"), rank.desc("_collection"), F.col("id").asc()]
-    return union.drop_copies(union_hits(spark, sf), "text", order).select("query_id", "_collection", "id")
+    marked = union_hits(spark, sf, union.fingerprint(F.col("text")).alias("fingerprint"))
+    return union.drop_copies(marked, order).select("query_id", "_collection", "id")
 
 
 @query("union_neardup")

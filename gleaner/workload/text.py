@@ -265,7 +265,7 @@ def _page_with_marks(spark, sf):
     queries = requests(spark, DOCUMENT_QUERIES)
     shown = rank.page(document_hits(spark, sf, DOCUMENT_QUERIES), rank.default_order())
     texts = documents(spark, sf).select("id", "text")
-    return shown.join(texts, "id").join(marks.query_marks(queries), "query_id")
+    return rank.attach(shown, texts).join(marks.query_marks(queries), "query_id")
 
 
 @query(

@@ -171,7 +171,8 @@ def copies(spark):
 def test_copies_and_near_copies(spark):
     order = [desc("score"), F.col("id").asc()]
     hits = copies(spark)
-    assert {r["id"] for r in union.drop_copies(hits, "text", order).collect()} == {"a", "c", "d", "e"}
+    marked = hits.withColumn("fingerprint", union.fingerprint(F.col("text")))
+    assert {r["id"] for r in union.drop_copies(marked, order).collect()} == {"a", "c", "d", "e"}
     assert {r["id"] for r in union.drop_near_copies(hits, "text", order).collect()} == {"a", "d", "e"}
     assert {r["id"] for r in union.drop_near_copies(hits, "text", order, similarity=0.99).collect()} == {"a", "c", "d", "e"}
 
@@ -201,7 +202,7 @@ def test_near_copies_against_brute_force(spark, wanted, window):
 def test_whole_search_and_json(spark):
     docs = local_table(spark, [("1", "red ring", "a", 5), ("2", "red rod", "b", 9), ("3", "blue ring", "a", 1)], "id string, name string, brand string, price int")
     queries = local_table(spark, [("x", "red"), ("y", "nothing"), ("z", "ring")], "query_id string, q string")
-    found = run(docs, queries, Match(("name",), **EXACT_ONLY), Page(order=(desc("price"),), facet_by=("brand",)), F.col("price") > 2)
+    found = run(docs, queries, Match(("name",), **EXACT_ONLY), Page(order=(desc("price"),), sort_by=("price",), facet_by=("brand",)), F.col("price") > 2)
     assert [(r["query_id"], r["id"], r["rank"]) for r in found.hits.orderBy("query_id", "rank").collect()] == [("x", "2", 1), ("x", "1", 2), ("z", "1", 1)]
     assert {r["query_id"]: r["found"] for r in found.summary.collect()} == {"x": 2, "y": 0, "z": 1}
     assert {(r["query_id"], r["value"], r["n"]) for r in found.facets.collect()} == {("x", "a", 1), ("x", "b", 1), ("z", "a", 1)}
