@@ -251,6 +251,22 @@ def page_facts(spark, sf):
     return rank.page_facts(totals, 2, 30)
 
 
+_STAR = [("s1", "*"), ("s2", "red widget")]
+
+
+@query(
+    "star_search",
+    f"""WITH {oracle.search_ctes('(SELECT CAST(p_partkey AS VARCHAR) AS id, * FROM part WHERE p_size > 10)', ['p_name'], _STAR)},
+    a AS (SELECT query_id, id, p_retailprice FROM hits JOIN {PRODUCTS} USING (id) UNION ALL SELECT 's1', id, p_retailprice FROM {PRODUCTS} WHERE p_size > 10)
+    {oracle.top('p_retailprice DESC', 25, 'p_retailprice', 'a')}""",
+)
+def star_search(spark, sf):
+    """A query for everything beside an ordinary one, in the same batch."""
+    page = Page(order=(rank.desc("p_retailprice"),), sort_by=("p_retailprice",), per_page=25)
+    found = run(products(spark, sf), requests(spark, _STAR), Match(("p_name",), **EXACT_ONLY), page, gt("p_size", 10))
+    return found.hits.select("query_id", "id", "p_retailprice", "rank")
+
+
 _BIG = "(SELECT CAST(p_partkey AS VARCHAR) AS id, * FROM part WHERE p_size > 10)"
 
 

@@ -210,6 +210,17 @@ def test_whole_search_and_json(spark):
     assert '"found":2' in text["x"] and '"hits":[]' in text["y"] and '"name":"red rod"' in text["x"]
 
 
+def test_star_queries_and_hidden_hits(spark):
+    docs = local_table(spark, [(str(i), f"ring {i}", i) for i in range(30)], "id string, name string, price int")
+    queries = local_table(spark, [("all", " * "), ("one", "7"), ("also", "*")], "query_id string, q string")
+    hidden = local_table(spark, [("all", "29"), ("one", "8")], "query_id string, id string")
+    page = Page(order=(desc("price"),), sort_by=("price",), per_page=2)
+    found = run(docs, queries, Match(("name",), **EXACT_ONLY), page, F.col("price") > 3, hidden=hidden)
+    assert {r["query_id"]: r["found"] for r in found.summary.collect()} == {"all": 25, "one": 1, "also": 26}
+    got = {(r["query_id"], r["rank"]): r["id"] for r in found.hits.collect()}
+    assert got == {("all", 1): "28", ("all", 2): "27", ("also", 1): "29", ("also", 2): "28", ("one", 1): "7"}
+
+
 # --- conversations and plain words --------------------------------------------------------
 
 
