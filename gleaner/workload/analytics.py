@@ -199,7 +199,7 @@ _ASKED = f"SELECT 'w' || word AS query_id, word AS q FROM (SELECT DISTINCT unnes
 
 @query(
     "nohits_words",
-    f"""WITH {oracle.search_ctes(DOCUMENTS, ['text'], _ASKED)} SELECT q, 1 AS count FROM hits_queries WHERE query_id NOT IN (SELECT query_id FROM hits)""",
+    f"""WITH {oracle.search_ctes(DOCUMENTS, ['text'], _ASKED)} SELECT q, CAST(1 AS BIGINT) AS count FROM hits_queries WHERE query_id NOT IN (SELECT query_id FROM hits)""",
 )
 def nohits_words(spark, sf):
     """Words of the reference texts that find no document: a search feeding the analytics."""

@@ -415,8 +415,8 @@ def normalize_refs(spark, sf):
 
 @query(
     "nest_one",
-    """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, to_json({'id': CAST(n_nationkey AS VARCHAR), 'name': n_name,
-    'region': {'id': CAST(r_regionkey AS VARCHAR), 'name': r_name}}) AS nation
+    """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(to_json({'id': CAST(n_nationkey AS VARCHAR), 'name': n_name,
+    'region': {'id': CAST(r_regionkey AS VARCHAR), 'name': r_name}}) AS VARCHAR) AS nation
     FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
 )
 def nest_one(spark, sf):
@@ -464,7 +464,7 @@ def nest_path(spark, sf):
 
 @query(
     "nest_fallback",
-    """SELECT CAST(s_suppkey AS VARCHAR) AS id, to_json({'id': CAST(n_nationkey AS VARCHAR), 'name': n_name}) AS nation,
+    """SELECT CAST(s_suppkey AS VARCHAR) AS id, CAST(to_json({'id': CAST(n_nationkey AS VARCHAR), 'name': n_name}) AS VARCHAR) AS nation,
     CAST(NULL AS VARCHAR) AS details FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
 )
 def nest_fallback(spark, sf):
@@ -478,8 +478,8 @@ def nest_fallback(spark, sf):
 
 @query(
     "nest_many",
-    """SELECT CAST(o_orderkey AS VARCHAR) AS id, 0 AS part, coalesce(list(to_json({'line': l_linenumber, 'product': CAST(l_partkey AS VARCHAR),
-    'supplier': l_suppkey, 'quantity': CAST(l_quantity AS BIGINT)}) ORDER BY l_linenumber, CAST(l_partkey AS VARCHAR), l_suppkey, CAST(l_quantity AS BIGINT)) FILTER (l_orderkey IS NOT NULL), []) AS lines
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, 0 AS part, coalesce(list(CAST(to_json({'line': l_linenumber, 'product': CAST(l_partkey AS VARCHAR),
+    'supplier': l_suppkey, 'quantity': CAST(l_quantity AS BIGINT)}) AS VARCHAR) ORDER BY l_linenumber, CAST(l_partkey AS VARCHAR), l_suppkey, CAST(l_quantity AS BIGINT)) FILTER (l_orderkey IS NOT NULL), []) AS lines
     FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""",
 )
 def nest_many_lines(spark, sf):

@@ -273,7 +273,7 @@ _BIG = "(SELECT CAST(p_partkey AS VARCHAR) AS id, * FROM part WHERE p_size > 10)
 @query(
     "result_json",
     _sql(
-        """SELECT query_id, to_json(CASE WHEN l.hits IS NULL THEN NULL ELSE {'found': t.found, 'page': 1, 'hits': l.hits, 'facet_counts': v.facets} END) AS result
+        """SELECT query_id, CAST(to_json(CASE WHEN l.hits IS NULL THEN NULL ELSE {'found': t.found, 'page': 1, 'hits': l.hits, 'facet_counts': v.facets} END) AS VARCHAR) AS result
         FROM t JOIN l USING (query_id) JOIN v USING (query_id) UNION ALL
         SELECT query_id, '{"found":0,"page":1,"hits":[]}' FROM t WHERE found = 0""",
         docs=_BIG,
