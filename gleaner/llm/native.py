@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.session import work_path
+
 # A word: code points other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -59,6 +61,13 @@ def buckets_for(rows: int) -> int:
     return max(1, rows // BUCKET_ROWS)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder and read from there, for rows used more than once."""
+    folder = work_path(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def running(df: DataFrame, keys: list[str], bucket: str, order: list[Column], amount: Column, name: str) -> DataFrame:
     """The sum of ``amount`` over the earlier rows of a key, without sending a key to one task.
 

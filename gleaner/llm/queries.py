@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, sharding, warc
+from gleaner.llm import bpe, chat, mixing, quality, sharding, warc
 from gleaner.session import local_table, table, work_path
 
 QUERIES: dict = {}
@@ -26,6 +26,11 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+@query("op1_source_mixture", f"WITH {mixing.taken_sql()} SELECT doc_id, size, source_size, target, taken FROM mixed")
+def op1_source_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.taken_words(mixing.mix(table(spark, sf, "documents")))
+
+
 @query("op2_token_counts")
 def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), TOKEN_LIMIT)
@@ -36,6 +41,11 @@ def op3_interleaved_shards(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.interleave(table(spark, sf, "documents"), SHARDS)
 
 
+@query("op5_quality_divergence", quality.judge_sql())
+def op5_quality_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judge(table(spark, sf, "documents")).drop("class_distance", "word_distance")
+
+
 @query("op7_warc_transactions", warc.PAGES_SQL)
 def op7_warc_transactions(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_path(spark, "warc")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.native import buckets_for, hash_bucket, running, seeded, stratum, text_or_empty
+from gleaner.llm.native import buckets_for, hash_bucket, running, seeded, stored, stratum, text_or_empty
 
 SEED = "interleave"
 
@@ -29,15 +29,16 @@ def interleave(
     it belongs to another law. An empty table gives an empty result. The order
     depends on the seed and the rows only, not on files or tasks.
     """
-    rows = docs.select(
+    given = docs.select(
         F.col(key).alias("doc_id"),
         stratum(F.col(source)).alias("stratum"),
         (F.octet_length(text_or_empty(F.col(text))) + 1).cast("long").alias("size"),
         F.crc32(text_or_empty(F.col(text))).alias("text_crc32"),
         seeded(seed, F.col(key), F.col(text)).alias("order"),
     )
-    sources = docs.groupBy(stratum(F.col(source)).alias("stratum")).agg(F.count(F.lit(1)).alias("of"))
-    total = docs.count()
+    rows = stored(given, "interleave")
+    sources = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("of"))
+    total = rows.count()
     buckets = buckets_for(total)
 
     ranked = running(
