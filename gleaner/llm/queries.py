@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, mixing, quality, sharding, warc
+from gleaner.llm import bpe, chat, decontaminate, mixing, quality, sharding, warc
 from gleaner.session import local_table, table, work_path
 
 QUERIES: dict = {}
@@ -62,3 +62,11 @@ def op9_chat_templates(spark: SparkSession, sf: str) -> DataFrame:
     given = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     turns = given.unionByName(local_table(spark, PLANTED, "conv_id long, turn long, role string, text string"))
     return chat.read_back(chat.format_conversations(turns))
+
+
+@query(
+    "op10_benchmark_phrases",
+    f"WITH {decontaminate.hits_sql()} SELECT doc_id, n_words, n_hit, n_items, items_sha256, n_hit > 0 AS contaminated FROM hit",
+)
+def op10_benchmark_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
