@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, decontaminate, mixing, quality, sharding, warc
+from gleaner.llm import bpe, chat, decontaminate, jaccard, mixing, quality, sharding, warc
 from gleaner.session import local_table, table, work_path
 
 QUERIES: dict = {}
@@ -41,6 +41,11 @@ def op3_interleaved_shards(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.interleave(table(spark, sf, "documents"), SHARDS)
 
 
+@query("op4_ngram_jaccard", f"WITH RECURSIVE {jaccard.link_sql()} SELECT doc_id, n_shingles, component_id FROM linked")
+def op4_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.link(table(spark, sf, "documents"))
+
+
 @query("op5_quality_divergence", quality.judge_sql())
 def op5_quality_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents")).drop("class_distance", "word_distance")
