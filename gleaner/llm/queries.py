@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, decontaminate, jaccard, mixing, quality, sharding, warc
+from gleaner.llm import bpe, chat, decontaminate, jaccard, lm, mixing, quality, sharding, token_shards, warc
 from gleaner.session import local_table, table, work_path
 
 QUERIES: dict = {}
@@ -51,6 +51,11 @@ def op5_quality_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents")).drop("class_distance", "word_distance")
 
 
+@query("op6_bloom_lm")
+def op6_bloom_lm(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.train_and_score(table(spark, sf, "documents"))
+
+
 @query("op7_warc_transactions", warc.PAGES_SQL)
 def op7_warc_transactions(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_path(spark, "warc")
@@ -58,6 +63,18 @@ def op7_warc_transactions(spark: SparkSession, sf: str) -> DataFrame:
     return warc.page_digests(warc.read_archives(spark, folder))
 
 
+def token_records(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The shards of the documents, written and read back."""
+    folder = work_path(spark, "shards")
+    token_shards.write_shards(docs, folder, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return token_shards.read_shards(spark, folder)
+
+
+@query("op8_token_shards")
+def op8_token_shards(spark: SparkSession, sf: str) -> DataFrame:
+    return token_records(spark, table(spark, sf, "documents"))
+
+
 # A conversation that says the control strings of another format.
 PLANTED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
