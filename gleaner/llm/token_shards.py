@@ -23,6 +23,7 @@ from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gleaner.functions.skew import broadcast_checked
 from gleaner.llm.bpe import SPACE
 from gleaner.llm.words import mixed
 
@@ -153,8 +154,9 @@ def write_shards(
 
     slots.__annotations__ = {"numbers": pd.Series, "return": pd.Series}
     shards = max(1, -(-total // shard_rows))
+    starts, _ = broadcast_checked(starts.select("part", "_start"))  # a row per task
     placed = (
-        made.join(starts.select("part", "_start"), "part")
+        made.join(starts, "part")
         .withColumn("slot", F.pandas_udf(slots, "long")(F.col("_start") + F.col("at")))
         .withColumn("shard", F.expr(f"slot div {shard_rows}"))
         .select("shard", "slot", "data")
@@ -168,6 +170,7 @@ def write_shards(
         .text(folder, lineSep=END_BYTES.decode("latin-1"))
     )
     made.unpersist()
+    starts.unpersist()
     return total
 
 
