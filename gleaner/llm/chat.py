@@ -157,7 +157,10 @@ def fold(tree: tuple) -> tuple:
     parts = [p for p in tree[1:] if isinstance(p, tuple)]
     if kind in ("lit", "name") or any(p[0] != "lit" for p in parts):
         return tree
-    return ("lit", expression(tree)({}))
+    try:
+        return ("lit", expression(tree)({}))
+    except TypeError as error:
+        raise TemplateError(f"constants do not fit: {error}") from error
 
 
 def _field(value, key):
