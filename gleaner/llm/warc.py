@@ -203,6 +203,11 @@ class _Lines:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _named(reference: str, own: str) -> Column:
+    """A join key for a reference that most records lack: those get keys of their own, which match nothing."""
+    return F.coalesce(F.col(reference), F.concat(F.lit("none "), F.col(own)))
+
+
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: capture, requests, metadata, original.
 
@@ -227,7 +232,7 @@ def assemble(records: DataFrame) -> DataFrame:
         heads.filter("record_type = 'response'").groupBy(F.col("record_id").alias("of")).agg(F.first(F.struct(*fields)).alias("original"))
     )
     return (
-        heads.select(F.col("record_id").alias("id"), F.col("refers_to").alias("of"), F.struct(*fields).alias("capture"))
+        heads.select(F.col("record_id").alias("id"), _named("refers_to", "record_id").alias("of"), F.struct(*fields).alias("capture"))
         .join(concurrent("request", "requests"), "id", "left")
         .join(concurrent("metadata", "metadata"), "id", "left")
         .join(originals, "of", "left")
@@ -252,7 +257,7 @@ def page_digests(records: DataFrame) -> DataFrame:
     named = captures.select(F.col("capture.record_id").alias("id"), F.col("page").alias("first")).groupBy("id").agg(F.min("first").alias("first"))
     again = F.col("capture.record_type") == "revisit"
     return (
-        captures.withColumn("id", F.col("capture.refers_to"))
+        captures.withColumn("id", _named("capture.refers_to", "capture.record_id"))
         .join(named, "id", "left")
         .select(
             page("page").alias("page_id"),
