@@ -34,6 +34,8 @@ KNOWN_WORDS = 1 << 18
 # Tokens counted together in a task before they are handed on.
 TOGETHER = 2_000_000
 _MOST_LEVELS = 48
+# Tokens whose n-grams are probed together.
+PROBED = 200_000
 BEGIN, END = _U(0x5BD1E995A1B2C3D5), _U(0x1B873593CC9E2D51)
 _LEFT, _RIGHT, _LEVEL = _U(0x9FB21C651E98DF25), _U(0xD8B4D6A3F1C9E7AB), _U(0xA24BAED4963EE407)
 
@@ -218,21 +220,39 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
         begin = count_of(shape.levels(bits, np.array([BEGIN], dtype=_U)))[0]
         for batch in batches:
             sizes, scores, bases, knowns = [], [], [], []
-            for words in hasher.texts(batch.column("text").to_pylist()):
-                tokens = np.append(words, END)
-                unique, where = np.unique(tokens, return_inverse=True)
+            group: list[np.ndarray] = []
+
+            def add(group=group, sizes=sizes, scores=scores, bases=bases, knowns=knowns) -> None:
+                """The scores of the texts gathered, whose n-grams are probed together."""
+                if not group:
+                    return
+                lengths = np.array([len(t) for t in group])
+                cuts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+                unique, where = np.unique(np.concatenate(group), return_inverse=True)
                 single = count_of(shape.levels(bits, unique))[where]
                 before = np.concatenate([[begin], single[:-1]])
-                pair = count_of(shape.levels(bits, pairs_of(tokens)))
+                before[cuts] = begin
+                pair = count_of(shape.levels(bits, np.concatenate([pairs_of(t) for t in group])))
                 alone = (single + ADDED) / floor
                 ratio = np.minimum(1.0, pair / np.maximum(before, 1.0))
                 mix = np.where(before > 0, PAIR_WEIGHT * ratio + (1 - PAIR_WEIGHT) * alone, alone)
-                sizes.append(len(tokens))
-                scores.append(float(np.log10(mix).sum()))
                 hit, at = _looked_up(names, unique)
-                times = np.bincount(where, minlength=len(unique))
-                bases.append(float((logs[at[hit]] * times[hit]).sum()))
-                knowns.append(int(times[hit].sum()))
+                log = np.zeros(len(unique))
+                log[hit] = logs[at[hit]]
+                sizes.extend(lengths.tolist())
+                scores.extend(np.add.reduceat(np.log10(mix), cuts).tolist())
+                bases.extend(np.add.reduceat(log[where], cuts).tolist())
+                knowns.extend(np.add.reduceat(hit[where].astype(np.int64), cuts).tolist())
+                group.clear()
+
+            gathered = 0
+            for words in hasher.texts(batch.column("text").to_pylist()):
+                group.append(np.append(words, END))
+                gathered += len(words) + 1
+                if gathered >= PROBED:
+                    add()
+                    gathered = 0
+            add()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("digest"), pa.array(sizes, pa.int64()), pa.array(scores, pa.float64()),
                  pa.array(bases, pa.float64()), pa.array(knowns, pa.int64())],
