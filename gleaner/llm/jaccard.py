@@ -401,13 +401,24 @@ def block_links(rows: DataFrame, blocks: DataFrame, docs: DataFrame, described:
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """node, n, component, block, hot: sets whose fullest key is hot share blocks, others are their own."""
+    """node, n, component, block, hot: sets whose fullest key is hot share blocks, others are their own.
+
+    A component that fills a block of its own has blocks of its own, which need
+    not be compared with each other; smaller ones are kept together in the rest.
+    """
     top = F.max(F.struct("_n", "key")).alias("_t")
-    each = rows.groupBy("node", "n", "component").agg(top)
-    hot = F.col("_t._n") >= 1 << BLOCK_LEVEL
-    part = F.pmod(F.xxhash64(F.col("node"), F.lit("block")), F.ceil(F.col("_t._n") / BLOCK_SETS))
-    block = F.when(hot, F.xxhash64(F.col("_t.key"), part)).otherwise(F.col("node"))
-    return each.select("node", "n", "component", block.alias("block"), hot.alias("hot"))
+    each = rows.groupBy("node", "n", "component").agg(top).select(
+        "node", "n", "component", F.col("_t.key").alias("_top"), (F.col("_t._n") >= 1 << BLOCK_LEVEL).alias("hot")
+    )
+    chosen = each.filter("hot").groupBy("_top", "component").agg(F.count(F.lit(1)).alias("_m"))
+    fills = F.col("_m") >= BLOCK_SETS
+    chosen = chosen.withColumn("_home", F.when(fills, F.xxhash64("_top", "component")).otherwise(F.xxhash64("_top")))
+    homes = chosen.groupBy("_home").agg(F.sum("_m").alias("_all"))
+    placed = each.join(chosen, ["_top", "component"], "left").join(homes, "_home", "left")
+    dealt_by = F.xxhash64(F.when(fills, F.col("node")).otherwise(F.col("component")), F.lit("block"))
+    part = F.pmod(dealt_by, F.ceil(F.col("_all") / BLOCK_SETS))
+    block = F.when(F.col("hot"), F.xxhash64("_home", part)).otherwise(F.col("node"))
+    return placed.select("node", "n", "component", block.alias("block"), "hot")
 
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
