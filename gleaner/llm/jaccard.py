@@ -445,8 +445,9 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         .withColumn("_first", F.min("node").over(group))
         .withColumn("_last", F.max("node").over(group))
         .filter(F.col("hot") | (F.col("_last") != F.col("_first")))
-        .select("key", "node", "n", "weight", "core", "hot")
-        .distinct(),
+        .select("key", "salt", "node", "n", "weight", "core", "hot")
+        .distinct()  # in place, as rows are dealt by key and salt already
+        .drop("salt"),
         "members",
     )
     rows = members.withColumn("component", F.col("node"))
