@@ -51,24 +51,25 @@ LABELLED = Collection(
     "labelled",
     (
         Field("text", "string"), Field("lang", "string", facet=True), Field("quality", "int32", sort=True),
-        Field("embedding", "float[]", num_dim=32, optional=True), Field("n_chars", "int64"),
+        Field("embedding", "float[]", num_dim=64, optional=True), Field("n_chars", "int64"),
     ),
     default_sorting_field="quality",
 )
 
 
 def labelled(spark, sf):
-    """Documents with labels and vectors; many have neither."""
+    """Documents with labels and vectors; many have neither, and every seventh vector is cut short."""
     docs = documents(spark, sf)
+    vector = F.when(F.col("doc_id") % 7 == 3, F.slice("embedding", 1, 32)).otherwise(F.col("embedding"))
     return (
         docs.join(table(spark, sf, "labels"), "doc_id", "left")
         .join(table(spark, sf, "embeddings"), F.col("doc_id") == F.col("vec_id"), "left")
-        .select("id", "text", "lang", "quality", "embedding", "n_chars")
+        .select("id", "text", "lang", "quality", vector.alias("embedding"), "n_chars")
     )
 
 
 _LABELLED = (
-    f"(SELECT d.id, d.text, d.lang, l.quality, e.embedding, d.n_chars FROM {DOCUMENTS} d LEFT JOIN labels l USING (doc_id) "
+    f"(SELECT d.id, d.text, d.lang, l.quality, CASE WHEN d.doc_id % 7 = 3 THEN e.embedding[1:32] ELSE e.embedding END AS embedding, d.n_chars FROM {DOCUMENTS} d LEFT JOIN labels l USING (doc_id) "
     "LEFT JOIN embeddings e ON d.doc_id = e.vec_id)"
 )
 
@@ -81,7 +82,7 @@ _LABELLED = (
     "{'field': 'lang', 'rule': 'null in required field', 'n': count(*) FILTER (lang IS NULL)},"
     "{'field': 'quality', 'rule': 'null in required field', 'n': count(*) FILTER (quality IS NULL)},"
     "{'field': 'n_chars', 'rule': 'null in required field', 'n': count(*) FILTER (n_chars IS NULL)},"
-    "{'field': 'embedding', 'rule': 'wrong vector size', 'n': count(*) FILTER (len(embedding) <> 32)},"
+    "{'field': 'embedding', 'rule': 'wrong vector size', 'n': count(*) FILTER (len(embedding) <> 64)},"
     "{'field': 'quality', 'rule': 'null in default sorting field', 'n': count(*) FILTER (quality IS NULL)}], recursive := true) "
     f"FROM {_LABELLED})",
 )
@@ -183,7 +184,7 @@ def import_upsert(spark, sf):
 @query(
     "import_report",
     f"""SELECT id, CASE WHEN text IS NULL THEN 'field ''text'' is required' WHEN lang IS NULL THEN 'field ''lang'' is required'
-    WHEN quality IS NULL THEN 'field ''quality'' is required' WHEN len(embedding) <> 32 THEN 'field ''embedding'' needs 32 dimensions' END AS error
+    WHEN quality IS NULL THEN 'field ''quality'' is required' WHEN len(embedding) <> 64 THEN 'field ''embedding'' needs 64 dimensions' END AS error
     FROM {_LABELLED}""",
 )
 def import_report(spark, sf):

@@ -242,6 +242,13 @@ def test_history_and_budget_of_a_very_long_conversation(spark):
     assert kept == {t: u for t, u in used.items() if u <= 2500} and len(kept) > 700
 
 
+def test_history_counts_turns_not_turn_numbers(spark):
+    rows = [(1, 10 * t, "user", f"t{t}") for t in range(9)]
+    turns = local_table(spark, rows, "conv_id long, turn long, role string, text string")
+    got = {r["turn"]: r["history"] for r in conversation.history(turns, 3).collect()}
+    assert got == {10 * t: [f"t{k}" for k in range(max(0, t - 3), t)] for t in range(9)}
+
+
 def test_answers_and_transcript(spark):
     turns = local_table(spark, [(1, 0, "user", "hi")], "conv_id long, turn long, role string, text string")
     page = local_table(spark, [("q", "d2", 2, "second"), ("q", "d1", 1, "first")], "query_id string, id string, rank int, text string")
