@@ -35,13 +35,16 @@ def _hit(word: Column, marks: Column) -> Column:
     return F.arrays_overlap(F.split(F.trim(_core(word)), " "), marks)
 
 
-def highlight(text: Column, marks: Column, start: str = START, end: str = END) -> Column:
-    """Whole text with the matching words in tags."""
+def highlight(text: Column, marks: Column, start: str = START, end: str = END, separators=(), symbols=()) -> Column:
+    """Whole text with the matching tokens in tags; white space and punctuation stay as they are."""
+    gap = break_pattern(separators, symbols)
+    pieces = F.regexp_extract_all(text, F.lit(f"{gap}|(?s:(?!{gap}).)+"), F.lit(0))
     return F.array_join(
         F.transform(
-            _words(text), lambda w: F.when(_hit(w, marks), F.concat(F.lit(start), w, F.lit(end))).otherwise(w)
+            pieces,
+            lambda p: F.when(F.array_contains(marks, F.lower(p)), F.concat(F.lit(start), p, F.lit(end))).otherwise(p),
         ),
-        " ",
+        "",
     )
 
 

@@ -249,8 +249,9 @@ def _sql_words(text):
 _HIT = "list_has_any(string_split(trim(regexp_replace(lower(w), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' '), marks)"
 
 
-def _sql_marked(words):
-    return f"array_to_string(list_transform({words}, lambda w: CASE WHEN {_HIT} THEN '<mark>' || w || '</mark>' ELSE w END), ' ')"
+def _sql_marked(text):
+    pieces = f"regexp_extract_all({text}, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+')"
+    return f"array_to_string(list_transform({pieces}, lambda p: CASE WHEN list_contains(marks, lower(p)) THEN '<mark>' || p || '</mark>' ELSE p END), '')"
 
 
 def _shown(select):
@@ -272,7 +273,7 @@ def _page_with_marks(spark, sf):
     "highlight",
     f"WITH {oracle.search_ctes(PRODUCTS, ['p_name'], PRODUCT_QUERIES, prefix=['p_name'])}, "
     f"words AS (SELECT query_id, list(DISTINCT token) AS marks FROM hits_cand GROUP BY query_id) "
-    f"SELECT h.query_id, h.id, {_sql_marked(_sql_words('d.p_name'))} AS highlight FROM hits h JOIN {PRODUCTS} d USING (id) JOIN words USING (query_id)",
+    f"SELECT h.query_id, h.id, {_sql_marked('d.p_name')} AS highlight FROM hits h JOIN {PRODUCTS} d USING (id) JOIN words USING (query_id)",
 )
 def highlight(spark, sf):
     """All matched vocabulary tokens are marked, also those found by prefix."""
@@ -288,7 +289,7 @@ def highlight(spark, sf):
     return marked.select("query_id", "id", marks.highlight(F.col("p_name"), F.col("marks")).alias("highlight"))
 
 
-@query("highlight_full", _shown(f"SELECT query_id, id, rank, {_sql_marked('ws')} AS highlight FROM shown"))
+@query("highlight_full", _shown(f"SELECT query_id, id, rank, {_sql_marked('text')} AS highlight FROM shown"))
 def highlight_full(spark, sf):
     page = _page_with_marks(spark, sf)
     return page.select("query_id", "id", "rank", marks.highlight(F.col("text"), F.col("marks")).alias("highlight"))
@@ -301,7 +302,7 @@ _FIRST = f"coalesce(list_position(list_transform(ws, lambda w: {_HIT}), true), 0
     "snippet",
     _shown(
         f", cut AS (SELECT *, {_FIRST} AS f FROM shown) SELECT query_id, id, rank, "
-        + _sql_marked("CASE WHEN len(ws) < 30 THEN ws ELSE list_slice(ws, greatest(1, f - 4), greatest(f, 1) + 4) END")
+        + _sql_marked("array_to_string(CASE WHEN len(ws) < 30 THEN ws ELSE list_slice(ws, greatest(1, f - 4), greatest(f, 1) + 4) END, ' ')")
         + " AS snippet FROM cut"
     ),
 )
