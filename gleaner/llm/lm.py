@@ -3,8 +3,10 @@
 Counts of words and of adjacent pairs are quantised to the levels
 ``1 + floor(log2 count)``. An n-gram of level q is put into the filter q times,
 once with each level; its level is read by probing 1, 2, ... until a probe
-fails. A failing filter only ever reads a level too high. The filter is
-bounded in size and is broadcast; scores mix the quantised pair and word counts.
+fails. A failing filter only ever reads a level too high. The filter grows with
+what is put into it. Up to a bound it is broadcast; beyond, its segments are a
+table, and the n-grams of the texts are dealt to them. Scores mix the quantised
+pair and word counts.
 A baseline on exact word counts is kept beside it.
 """
 
@@ -15,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +29,10 @@ _U = np.uint64
 FOLDS, HELD_OUT = 10, 0
 ADDED = 0.1
 PAIR_WEIGHT = 0.4
-# The filter has 8 bits per n-gram seen, but never more than 2**29 bits (64 MB).
+# The filter has 8 bits per level put into it, rounded to a power of two. Up to 2**29 bits (64 MB) are broadcast.
 BITS_PER_GRAM, MOST_BITS = 8, 1 << 29
-SEGMENT_BITS = 10
+# There are 2**10 segments, and more where they would be larger than 2**19 bits (64 KB).
+SEGMENT_BITS, LARGEST_SEGMENT = 10, 19
 # Words whose exact counts every task knows (12 bytes each); others are joined.
 KNOWN_WORDS = 1 << 18
 # Tokens counted together in a task before they are handed on.
@@ -36,6 +40,8 @@ TOGETHER = 2_000_000
 _MOST_LEVELS = 48
 # Tokens whose n-grams are probed together.
 PROBED = 200_000
+# Bytes of text whose n-grams are sent to the segments together, when the filter is a table.
+BLOCK_BYTES = 1 << 20
 BEGIN, END = _U(0x5BD1E995A1B2C3D5), _U(0x1B873593CC9E2D51)
 _LEFT, _RIGHT, _LEVEL = _U(0x9FB21C651E98DF25), _U(0xD8B4D6A3F1C9E7AB), _U(0xA24BAED4963EE407)
 
@@ -66,6 +72,10 @@ class Filter:
 
     segment_bytes: int
     hashes: int
+    segment_bits: int = SEGMENT_BITS
+
+    def segments(self, grams: np.ndarray) -> np.ndarray:
+        return (grams >> _U(64 - self.segment_bits)).astype(np.int64)
 
     def places(self, grams: np.ndarray, level: int, probe: int) -> np.ndarray:
         bits = self.segment_bytes * 8
@@ -81,8 +91,14 @@ class Filter:
 
     def levels(self, data: np.ndarray, grams: np.ndarray) -> np.ndarray:
         """The levels read from the whole filter's bytes."""
+        return self._read(data, grams, self.segments(grams) * self.segment_bytes)
+
+    def levels_in(self, segment: np.ndarray, grams: np.ndarray) -> np.ndarray:
+        """The levels of n-grams of one segment, read from its bytes."""
+        return self._read(segment, grams, np.zeros(len(grams), dtype=np.int64))
+
+    def _read(self, data: np.ndarray, grams: np.ndarray, start: np.ndarray) -> np.ndarray:
         found = np.zeros(len(grams), dtype=np.int64)
-        start = (grams >> _U(64 - SEGMENT_BITS)).astype(np.int64) * self.segment_bytes
         left = np.arange(len(grams))
         for level in range(1, _MOST_LEVELS):
             for probe in range(self.hashes):
@@ -126,71 +142,117 @@ def _grams(docs: DataFrame, pairs: bool) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """What scoring needs: the filter's bytes, exact counts of the most common words, and totals."""
+    """What scoring needs: the filter, exact counts of the most common words, and totals.
+
+    The filter is either ``data``, all its bytes broadcast, or ``table`` with a row per segment.
+    """
 
     shape: Filter
     data: object
+    table: DataFrame | None
     words: DataFrame
     known: object
     tokens: int
     distinct: int
 
 
+def shape_for(inserted: int) -> Filter:
+    """The filter for so many n-grams and levels: of the powers of two the nearest to 8 bits for each."""
+    bits = max(SEGMENT_BITS + 6, round(float(np.log2(max(1, BITS_PER_GRAM * inserted)))))
+    segment_bits = max(SEGMENT_BITS, bits - LARGEST_SEGMENT)
+    hashes = int(min(6, max(1, round(0.69 * (1 << bits) / max(1, inserted)))))
+    return Filter(1 << (bits - segment_bits - 3), hashes, segment_bits)
+
+
+def _by_segment(shape: Filter, grams: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The segments of n-grams, and where their n-grams are."""
+    own = shape.segments(grams)
+    order = np.argsort(own, kind="stable")
+    cuts = np.flatnonzero(np.diff(own[order], prepend=-1))
+    for start, end in zip(cuts, [*cuts[1:], len(order)]):
+        yield int(own[order[start]]), order[start:end]
+
+
+def _segment_row(number: int, data: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([data.tobytes()], pa.binary())], ["segment", "data"])
+
+
+def _segment(shape: Filter) -> Column:
+    return F.shiftrightunsigned("gram", 64 - shape.segment_bits)
+
+
+def _whole(counted: DataFrame, shape: Filter) -> np.ndarray:
+    """All bytes of the filter. Tasks write their shares of segments; here they are read one by one and put together."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[int, np.ndarray] = {}
+        for batch in batches:
+            grams = batch.column("gram").to_numpy(zero_copy_only=False).view(_U)
+            levels = batch.column("level").to_numpy(zero_copy_only=False)
+            for number, rows in _by_segment(shape, grams):
+                data = made.setdefault(number, np.zeros(shape.segment_bytes, dtype=np.uint8))
+                shape.put(data, grams[rows], levels[rows])
+        for number, data in made.items():
+            yield _segment_row(number, data)
+
+    whole = np.zeros(shape.segment_bytes << shape.segment_bits, dtype=np.uint8)
+    for row in stored(counted.mapInArrow(build, "segment long, data binary"), "filter").toLocalIterator():
+        start = row["segment"] * shape.segment_bytes
+        whole[start : start + shape.segment_bytes] |= np.frombuffer(row["data"], dtype=np.uint8)
+    return whole
+
+
+def _segments(counted: DataFrame, shape: Filter) -> DataFrame:
+    """segment, data: a row for each segment that has any n-gram. A task holds one segment at a time."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, data = -1, None
+        for batch in batches:
+            grams = batch.column("gram").to_numpy(zero_copy_only=False).view(_U)
+            levels = batch.column("level").to_numpy(zero_copy_only=False)
+            for number, rows in _by_segment(shape, grams):
+                if number != current:
+                    if data is not None:
+                        yield _segment_row(current, data)
+                    current, data = number, np.zeros(shape.segment_bytes, dtype=np.uint8)
+                shape.put(data, grams[rows], levels[rows])
+        if data is not None:
+            yield _segment_row(current, data)
+
+    dealt = counted.withColumn("segment", _segment(shape)).repartition("segment").sortWithinPartitions("segment")
+    return dealt.select("gram", "level").mapInArrow(build, "segment long, data binary")
+
+
 def train(docs: DataFrame, most_bits: int = MOST_BITS) -> Model:
     """Learn from all texts of ``docs`` (column ``text``).
 
-    Word counts are exact and are written to the shared folder. The filter
-    holds words and pairs of all counts as long as 8 bits for each fit its
-    bound; beyond it, the rarest levels are left out, from the lowest up, as
-    far as the count of counts of all n-grams says is needed. Its segments are
-    made by the tasks that sum the counts, one shuffle in all, and only the
-    finished, bounded filter passes the driver on its way to the tasks.
+    Word counts are exact and are written to the shared folder, and so are the
+    levels of all n-grams, whose sum gives the size of the filter. It holds
+    words and pairs of all counts at every size. A filter of up to
+    ``most_bits`` passes the driver on its way to the tasks; a larger one is
+    written segment by segment, each made by one task. Both read alike.
     """
     spark = docs.sparkSession
     words = stored(_grams(docs, False).groupBy(F.col("gram").alias("word")).agg(F.sum("n").alias("n")), "words")
     facts = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, distinct = int(facts[0]), int(facts[1])
 
-    segments = 1 << SEGMENT_BITS
-    wanted = BITS_PER_GRAM * (tokens + distinct)
-    bits = 1 << max(SEGMENT_BITS + 6, min(most_bits, max(1, wanted)).bit_length() - (0 if wanted < most_bits else 1))
-    segment = F.shiftrightunsigned("gram", 64 - SEGMENT_BITS)
-    counted = (
+    # No finer than segments, so that the tasks below make few segments each; more parts only for more n-grams.
+    dealt = max(SEGMENT_BITS, (BITS_PER_GRAM * (tokens + distinct)).bit_length() - LARGEST_SEGMENT - 2)
+    counted = stored(
         _grams(docs, True)
-        .withColumn("segment", segment)
-        .repartition("segment")
-        .groupBy("segment", "gram")
+        .withColumn("part", F.shiftrightunsigned("gram", 64 - dealt))
+        .repartition("part")
+        .groupBy("part", "gram")
         .agg(F.sum("n").alias("n"))
-        .withColumn("level", F.floor(F.log2("n")).cast("int") + 1)
+        .select("gram", (F.floor(F.log2("n")).cast("int") + 1).alias("level")),
+        "levels",
     )
-    least, inserted = 1, tokens + distinct
-    if BITS_PER_GRAM * (tokens + distinct) > 2 * bits:
-        sizes = {r["level"]: r["count"] for r in counted.groupBy("level").count().collect()}
-        while BITS_PER_GRAM * sum(c * level for level, c in sizes.items() if level >= least) > 2 * bits and least < max(sizes):
-            least += 1
-        inserted = sum(c * level for level, c in sizes.items() if level >= least)
-    hashes = int(min(6, max(1, round(0.69 * bits / max(1, inserted)))))
-    shape = Filter(bits // 8 // segments, hashes)
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made: dict[int, np.ndarray] = {}
-        for batch in batches:
-            own = batch.column("segment").to_numpy(zero_copy_only=False)
-            grams = batch.column("gram").to_numpy(zero_copy_only=False).view(_U)
-            levels = batch.column("level").to_numpy(zero_copy_only=False)
-            order = np.argsort(own, kind="stable")
-            cuts = np.flatnonzero(np.diff(own[order], prepend=-1))
-            for start, end in zip(cuts, [*cuts[1:], len(order)]):
-                rows = order[start:end]
-                data = made.setdefault(int(own[rows[0]]), np.zeros(shape.segment_bytes, dtype=np.uint8))
-                shape.put(data, grams[rows], levels[rows])
-        for number, data in made.items():
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([data.tobytes()], pa.binary())], ["segment", "data"])
-
-    chosen = counted.filter(F.col("level") >= least).select("segment", "gram", "level")
-    data = bytearray(segments * shape.segment_bytes)
-    for row in chosen.mapInArrow(build, "segment long, data binary").collect():
-        data[row["segment"] * shape.segment_bytes : (row["segment"] + 1) * shape.segment_bytes] = row["data"]
+    shape = shape_for(int(counted.agg(F.coalesce(F.sum("level"), F.lit(0))).first()[0]))
+    if shape.segment_bytes << shape.segment_bits + 3 <= most_bits:
+        data, segments = spark.sparkContext.broadcast(_whole(counted, shape)), None
+    else:
+        data, segments = None, stored(_segments(counted, shape), "filter")
 
     octave = F.floor(2 * F.log2("n")).cast("int")
     sizes = {r["o"]: r["count"] for r in words.groupBy(octave.alias("o")).count().collect()}
@@ -202,66 +264,174 @@ def train(docs: DataFrame, most_bits: int = MOST_BITS) -> Model:
     order = np.argsort(names)
     sc = spark.sparkContext
     return Model(
-        shape, sc.broadcast(bytes(data)), words.filter(octave < bar), sc.broadcast((names[order], counts[order])), tokens, distinct
+        shape, data, segments, words.filter(octave < bar), sc.broadcast((names[order], counts[order])), tokens, distinct
     )
 
 
+_SUMS = ["n_tokens", "score", "base", "known"]
+
+
+class _Scorer:
+    """Sums over texts, with the common words of a model at hand; columns _SUMS."""
+
+    def __init__(self, model_floor: float, known):
+        self.floor = model_floor
+        self.names, counts = known.value
+        self.logs = np.log10((counts + ADDED) / model_floor)
+        self.columns: tuple[list, ...] = ([], [], [], [])
+
+    def add(self, group: list[np.ndarray], levels) -> None:
+        """The texts' tokens; ``levels`` reads the levels of n-grams."""
+        if not group:
+            return
+        lengths = np.array([len(t) for t in group])
+        cuts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        begin = count_of(levels(np.array([BEGIN], dtype=_U)))[0]
+        unique, where = np.unique(np.concatenate(group), return_inverse=True)
+        single = count_of(levels(unique))[where]
+        before = np.concatenate([[begin], single[:-1]])
+        before[cuts] = begin
+        pair = count_of(levels(np.concatenate([pairs_of(t) for t in group])))
+        alone = (single + ADDED) / self.floor
+        ratio = np.minimum(1.0, pair / np.maximum(before, 1.0))
+        mix = np.where(before > 0, PAIR_WEIGHT * ratio + (1 - PAIR_WEIGHT) * alone, alone)
+        hit, at = _looked_up(self.names, unique)
+        log = np.zeros(len(unique))
+        log[hit] = self.logs[at[hit]]
+        sums = (
+            lengths, np.add.reduceat(np.log10(mix), cuts), np.add.reduceat(log[where], cuts),
+            np.add.reduceat(hit[where].astype(np.int64), cuts),
+        )
+        for column, values in zip(self.columns, sums):
+            column.extend(values.tolist())
+
+    def taken(self) -> list[pa.Array]:
+        kinds = (pa.int64(), pa.float64(), pa.float64(), pa.int64())
+        arrays = [pa.array(c, kind) for c, kind in zip(self.columns, kinds)]
+        self.columns = ([], [], [], [])
+        return arrays
+
+
+def _groups(hasher: WordHasher, texts: list[bytes | None]) -> Iterator[list[np.ndarray]]:
+    """The tokens of the texts, as many texts at a time as are probed together."""
+    group, gathered = [], 0
+    for words in hasher.texts(texts):
+        group.append(np.append(words, END))
+        gathered += len(words) + 1
+        if gathered >= PROBED:
+            yield group
+            group, gathered = [], 0
+    yield group
+
+
 def _scored(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, digest, n_tokens, score, and base_score and n_known as far as the common words go."""
+    """doc_id, digest, n_tokens, score, and base and known as far as the common words go."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, digest long, n_tokens long, score double, base double, known long"
+    if model.table is not None:
+        return _scored_by_segment(docs, model, schema)
     shape, data, known = model.shape, model.data, model.known
     floor = model.tokens + ADDED * (model.distinct + 1)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = data.value
+        hasher, scorer = WordHasher(), _Scorer(floor, known)
+        for batch in batches:
+            for group in _groups(hasher, batch.column("text").to_pylist()):
+                scorer.add(group, lambda grams: shape.levels(bits, grams))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), *scorer.taken()], ["doc_id", "digest", *_SUMS])
+
+    return _texts(docs, "doc_id", "digest").mapInArrow(run, schema)
+
+
+def _blocks(docs: DataFrame) -> DataFrame:
+    """The texts with the number of their block: about BLOCK_BYTES of texts that follow each other, or one longer text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, size = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            numbers = []
+            for text in batch.column("text"):
+                # A row without text takes some room too.
+                room = 64 + (text.as_buffer().size if text.is_valid else 0)
+                if size and size + room > BLOCK_BYTES:
+                    block, size = block + 1, 0
+                size += room
+                numbers.append(block)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], [*batch.schema.names, "block"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return stored(_texts(docs, "doc_id", "digest").mapInArrow(run, f"doc_id {kind}, digest long, text binary, block long"), "blocks")
+
+
+def _asked(blocks: DataFrame) -> DataFrame:
+    """block, gram: what a block needs to know the levels of, each n-gram once for all texts read together."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        bits = np.frombuffer(data.value, dtype=np.uint8)
-        names, counts = known.value
-        logs = np.log10((counts + ADDED) / floor)
-        begin = count_of(shape.levels(bits, np.array([BEGIN], dtype=_U)))[0]
         for batch in batches:
-            sizes, scores, bases, knowns = [], [], [], []
-            group: list[np.ndarray] = []
-
-            def add(group=group, sizes=sizes, scores=scores, bases=bases, knowns=knowns) -> None:
-                """The scores of the texts gathered, whose n-grams are probed together."""
-                if not group:
-                    return
-                lengths = np.array([len(t) for t in group])
-                cuts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-                unique, where = np.unique(np.concatenate(group), return_inverse=True)
-                single = count_of(shape.levels(bits, unique))[where]
-                before = np.concatenate([[begin], single[:-1]])
-                before[cuts] = begin
-                pair = count_of(shape.levels(bits, np.concatenate([pairs_of(t) for t in group])))
-                alone = (single + ADDED) / floor
-                ratio = np.minimum(1.0, pair / np.maximum(before, 1.0))
-                mix = np.where(before > 0, PAIR_WEIGHT * ratio + (1 - PAIR_WEIGHT) * alone, alone)
-                hit, at = _looked_up(names, unique)
-                log = np.zeros(len(unique))
-                log[hit] = logs[at[hit]]
-                sizes.extend(lengths.tolist())
-                scores.extend(np.add.reduceat(np.log10(mix), cuts).tolist())
-                bases.extend(np.add.reduceat(log[where], cuts).tolist())
-                knowns.extend(np.add.reduceat(hit[where].astype(np.int64), cuts).tolist())
-                group.clear()
-
-            gathered = 0
-            for words in hasher.texts(batch.column("text").to_pylist()):
-                group.append(np.append(words, END))
-                gathered += len(words) + 1
-                if gathered >= PROBED:
-                    add()
-                    gathered = 0
-            add()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("digest"), pa.array(sizes, pa.int64()), pa.array(scores, pa.float64()),
-                 pa.array(bases, pa.float64()), pa.array(knowns, pa.int64())],
-                ["doc_id", "digest", "n_tokens", "score", "base", "known"],
-            )
+            for number, rows in _runs(batch.column("block").to_numpy(zero_copy_only=False)):
+                for group in _groups(hasher, batch.column("text").slice(rows.start, len(rows)).to_pylist()):
+                    parts = [np.array([BEGIN], dtype=_U), *group, *[pairs_of(t) for t in group]]
+                    grams = np.unique(np.concatenate(parts)).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), number)), pa.array(grams)], ["block", "gram"])
 
-    return _texts(docs, "doc_id", "digest").mapInArrow(
-        run, f"doc_id {kind}, digest long, n_tokens long, score double, base double, known long"
-    )
+    return blocks.select("block", "text").mapInArrow(run, "block long, gram long")
+
+
+def _runs(values: np.ndarray) -> Iterator[tuple[int, range]]:
+    """Equal values that follow each other, and where they are."""
+    cuts = [0, *(np.flatnonzero(np.diff(values)) + 1), len(values)]
+    for start, end in zip(cuts[:-1], cuts[1:]):
+        if end > start:
+            yield int(values[start]), range(start, end)
+
+
+def _scored_by_segment(docs: DataFrame, model: Model, schema: str) -> DataFrame:
+    """The same scores from a filter that is a table.
+
+    The n-grams of a block of texts go to the segments, which pass a task one
+    at a time, and their levels come back to the block. A block asks for an
+    n-gram once, so a frequent one costs a row per block, and no key's rows
+    are held together but those of a block.
+    """
+    shape, known = model.shape, model.known
+    floor = model.tokens + ADDED * (model.distinct + 1)
+    blocks = _blocks(docs)
+    asked = _asked(blocks).select(_segment(shape).alias("segment"), "block", "gram", F.lit(None).cast("binary").alias("data"))
+    none = F.lit(None).cast("long")
+    rows = model.table.select("segment", none.alias("block"), none.alias("gram"), "data").unionByName(asked)
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, bits = -1, None
+        for batch in batches:
+            block, gram, data = batch.column("block"), batch.column("gram"), batch.column("data")
+            for number, own in _runs(batch.column("segment").to_numpy(zero_copy_only=False)):
+                start, size = own.start, len(own)
+                if number != current:
+                    # A segment without any n-gram has no row.
+                    current, bits = number, np.zeros(shape.segment_bytes, dtype=np.uint8)
+                if data[start].is_valid:
+                    bits = np.frombuffer(data[start].as_py(), dtype=np.uint8)
+                    start, size = start + 1, size - 1
+                if size:
+                    grams = gram.slice(start, size)
+                    levels = shape.levels_in(bits, grams.to_numpy(zero_copy_only=False).astype(np.int64).view(_U))
+                    yield pa.RecordBatch.from_arrays([block.slice(start, size), grams, pa.array(levels.astype(np.int32))], ["block", "gram", "level"])
+
+    sorted_rows = rows.repartition("segment").sortWithinPartitions("segment", F.col("block").asc_nulls_first())
+    levels = sorted_rows.mapInArrow(probe, "block long, gram long, level int")
+
+    def run(texts: pa.Table, read: pa.Table) -> pa.Table:
+        grams = read.column("gram").to_numpy().view(_U)
+        order = np.argsort(grams)
+        grams, found = grams[order], read.column("level").to_numpy()[order].astype(np.int64)
+        scorer = _Scorer(floor, known)
+        for group in _groups(WordHasher(), texts.column("text").to_pylist()):
+            scorer.add(group, lambda wanted: found[np.searchsorted(grams, wanted)])
+        return pa.Table.from_arrays([texts.column("doc_id"), texts.column("digest"), *scorer.taken()], ["doc_id", "digest", *_SUMS])
+
+    return blocks.groupBy("block").cogroup(levels.groupBy("block")).applyInArrow(run, schema)
 
 
 def _looked_up(names: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

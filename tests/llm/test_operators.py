@@ -246,6 +246,27 @@ def test_filter_reads_levels_back():
     assert lm.level_of(counts).tolist() == [1, 2, 2, 3, 3, 4, 10]
 
 
+def test_a_filter_beyond_its_bound_scores_alike(docs, odd_rows):
+    rows = odd_rows + [(1000 + i, " ".join(f"w{i * k % 97}" for k in range(i % 9)) + " once" + "x" * i, "a", "en") for i in range(300)]
+    given = docs(rows).selectExpr("doc_id", "xxhash64(text) AS digest", "text")
+    scores = []
+    for most_bits in (lm.MOST_BITS, 1 << 10):
+        model = lm.train(given, most_bits)
+        assert (model.table is None) == (most_bits == lm.MOST_BITS)
+        found = lm.score(given, model).collect()
+        scores.append(sorted(str((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6))) for r in found))
+        assert len(found) == len(rows)
+    assert scores[0] == scores[1]
+
+
+def test_the_filter_grows_with_what_is_put_into_it():
+    for inserted in (10**4, 10**6, 10**8, 10**10, 10**12):
+        shape = lm.shape_for(inserted)
+        bits = shape.segment_bytes << shape.segment_bits + 3
+        assert 5.6 * inserted <= bits <= max(11.4 * inserted, 1 << 16) and shape.hashes >= 4
+        assert shape.segment_bytes <= 1 << 16
+
+
 # 7: WARC
 
 
