@@ -4,19 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.functions.skew import best_per_key, top_n
+from gleaner.functions.skew import best_per_key, ordinals, top_n
 from gleaner.functions.text import tokens, word_shingles
-from gleaner.operators.rank import MAX_PER_PAGE
-from gleaner.session import work_root
-
-# Hits per query decided in one round.
-WINDOW = 250
-HIT = ["query_id", "_collection", "id"]
 
 
 def with_presets(requests: DataFrame, presets: DataFrame, params: list[str], common: dict | None = None,
@@ -57,35 +49,21 @@ def drop_copies(hits: DataFrame, order: list[Column], by: str = "fingerprint") -
 
 
 def drop_near_copies(
-    hits: DataFrame, text: str, order: list[Column], wanted: int = MAX_PER_PAGE,
-    similarity: float = 0.8, window: int = WINDOW,
+    hits: DataFrame, text: str, order: list[Column], wanted: int | None = None, similarity: float = 0.8, window: int | None = None
 ) -> DataFrame:
-    """The best ``wanted`` hits per query of which none is nearly the same as a better one.
+    """All hits per query, or the best ``wanted``, of which none is nearly the same as a better one.
 
     A hit goes when it shares enough word 3-shingles (Jaccard, whole texts)
-    with a better ranked hit that stays. Each round decides one window of hits
-    per query, in order; the hits after it then lose, spread over all tasks,
-    those similar to what has been kept so far. Rounds go on for the queries
-    that still lack hits, so no candidate is left out and no group grows.
+    with a better ranked hit that stays. Similar pairs are found by their rare
+    shingles, and only these pairs are gone through in order. ``window`` is
+    accepted from earlier callers and has no effect.
     """
-    columns = hits.columns
     left = drop_copies(hits.withColumn("_copy", fingerprint(F.col(text))), order, "_copy").drop("_copy")
-    rounds = []
-    kept: DataFrame | None = None
-    while True:
-        shown = top_n(left, ["query_id"], order, window, "_place").persist()
-        chosen = _first_of_similar(shown, text, similarity).persist()
-        rounds.append(shown.select(*columns).join(chosen.select(*HIT), HIT, "left_semi"))
-        kept = chosen if kept is None else kept.unionByName(chosen)
-        full = shown.groupBy("query_id").agg(F.count(F.lit(1)).alias("_seen")).filter(F.col("_seen") >= window)
-        have = kept.groupBy("query_id").agg(F.count(F.lit(1)).alias("_kept")).filter(F.col("_kept") < wanted)
-        lacking = full.join(have, "query_id").select("query_id").persist()
-        if lacking.isEmpty():
-            break
-        rest = left.join(lacking, "query_id", "left_semi").join(shown.select(*HIT), HIT, "left_anti")
-        work_root(hits.sparkSession)
-        left = _unlike(rest, kept, text, similarity).select(*columns).checkpoint()
-    return top_n(reduce(DataFrame.unionByName, rounds), ["query_id"], order, wanted).drop("rank")
+    placed = ordinals(left, ["query_id"], order, "_place").checkpoint()
+    worse = _similar_to_kept(_similar_pairs(placed, text, similarity))
+    kept = placed if worse is None else placed.join(worse, ["query_id", "_place"], "left_anti")
+    kept = kept.drop("_place")
+    return kept if wanted is None else top_n(kept, ["query_id"], order, wanted).drop("rank")
 
 
 def _shingled(rows: DataFrame, text: str) -> DataFrame:
@@ -93,43 +71,51 @@ def _shingled(rows: DataFrame, text: str) -> DataFrame:
     return rows.withColumn("_tokens", tokens(F.col(text))).withColumn("_shingles", word_shingles(F.col("_tokens")))
 
 
-def _first_of_similar(shown: DataFrame, text: str, similarity: float) -> DataFrame:
-    """Greedy pass over one window per query; at most ``window`` rows come together."""
-
-    def keep_first(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("_place")
-        kept, flags = [], []
-        for shingles in rows["_shingles"]:
-            mine = np.asarray(shingles, dtype=np.int64)
-            similar = False
-            for other in kept:
-                small, large = sorted((len(mine), len(other)))
-                if small < similarity * large:
-                    continue
-                shared = len(np.intersect1d(mine, other, assume_unique=True))
-                if shared >= similarity * (len(mine) + len(other) - shared):
-                    similar = True
-                    break
-            if not similar:
-                kept.append(mine)
-            flags.append(not similar)
-        return rows.loc[flags, [*HIT, "_shingles"]]
-
-    slim = _shingled(shown, text).select(*HIT, "_place", "_shingles")
-    return slim.groupBy("query_id").applyInPandas(
-        keep_first, "query_id string, _collection string, id string, _shingles array<long>"
-    )
-
-
-def _unlike(rest: DataFrame, kept: DataFrame, text: str, similarity: float) -> DataFrame:
-    """Hits that are not similar to a kept one; kept hits are few per query and listed beside it."""
-    lists = kept.groupBy("query_id").agg(F.collect_list("_shingles").alias("_kept"))
-    mine = F.size("_shingles")
+def _similar_pairs(placed: DataFrame, text: str, similarity: float) -> DataFrame:
+    """query_id, better, worse: the places of every two similar hits of a query.
 
-    def similar(other: Column) -> Column:
-        shared = F.size(F.array_intersect("_shingles", other))
-        close = F.least(mine, F.size(other)) >= similarity * F.greatest(mine, F.size(other))
-        return close & (shared >= similarity * (mine + F.size(other) - shared))
-
-    joined = _shingled(rest, text).join(lists, "query_id")
-    return joined.filter(~F.exists("_kept", similar))
+    Of n shingles, similar texts share at least the part ``similarity``, so two
+    of them share one among the n - ceil(similarity * n) + 1 rarest of each.
+    """
+    sets = _shingled(placed, text).select("query_id", "_place", "_shingles").checkpoint()
+    each = sets.select("query_id", "_place", F.explode("_shingles").alias("_shingle"))
+    seen = each.groupBy("query_id", "_shingle").agg(F.count(F.lit(1)).alias("_seen"))
+    rarest = F.sort_array(F.collect_list(F.struct("_seen", "_shingle")))
+    listed = each.join(seen, ["query_id", "_shingle"]).groupBy("query_id", "_place").agg(rarest.alias("_rarest"))
+    size = F.size("_rarest")
+    # A little less than the product, so that rounding never makes a prefix too short.
+    first = F.slice("_rarest", 1, (size - F.ceil(size * similarity - 1e-9) + 1).cast("int"))
+    keys = (
+        listed.select("query_id", "_place", size.alias("_size"), F.explode(first).alias("_key"))
+        .filter(F.col("_key._seen") > 1)
+        .select("query_id", "_place", "_size", F.col("_key._shingle").alias("_shingle"))
+        .checkpoint()
+    )
+    a = keys.withColumnsRenamed({"_place": "better", "_size": "_size_a"})
+    b = keys.withColumnsRenamed({"_place": "worse", "_size": "_size_b"})
+    close = F.least("_size_a", "_size_b") >= similarity * F.greatest("_size_a", "_size_b") - 1e-9
+    pairs = a.join(b, ["query_id", "_shingle"]).filter((F.col("better") < F.col("worse")) & close).select("query_id", "better", "worse").distinct()
+    one = sets.withColumnsRenamed({"_place": "better", "_shingles": "_a"})
+    other = sets.withColumnsRenamed({"_place": "worse", "_shingles": "_b"})
+    shared = F.size(F.array_intersect("_a", "_b"))
+    similar = shared >= similarity * (F.size("_a") + F.size("_b") - shared)
+    return pairs.join(one, ["query_id", "better"]).join(other, ["query_id", "worse"]).filter(similar).select("query_id", "better", "worse")
+
+
+def _similar_to_kept(pairs: DataFrame) -> DataFrame | None:
+    """query_id, _place of the hits that go; null if none goes.
+
+    Hits without a better similar one stay, and those similar to them go, until
+    no pair is left. The best of each query's hits are decided in each round.
+    """
+    gone: DataFrame | None = None
+    pairs = pairs.checkpoint()
+    while not pairs.isEmpty():
+        worse = pairs.select("query_id", F.col("worse").alias("better")).distinct()
+        kept = pairs.select("query_id", "better").join(worse, ["query_id", "better"], "left_anti").distinct()
+        now = pairs.join(kept, ["query_id", "better"], "left_semi").select("query_id", F.col("worse").alias("_place")).distinct().checkpoint()
+        gone = now if gone is None else gone.unionByName(now)
+        for end in ("better", "worse"):
+            pairs = pairs.join(now.withColumnRenamed("_place", end), ["query_id", end], "left_anti")
+        pairs = pairs.checkpoint()
+    return gone

@@ -199,6 +199,14 @@ def test_near_copies_against_brute_force(spark, wanted, window):
     assert {r["id"] for r in got.collect()} == {d for d, _ in kept[:wanted]}
 
 
+def test_near_copies_keep_all_different_hits(spark):
+    rows = [(q, "c", f"d{n}", 1000 - n, " ".join(f"w{n % 400}x{i}" for i in range(6)) + (" end" if n >= 400 else "")) for q in "ab" for n in range(500)]
+    hits = local_table(spark, rows, "query_id string, _collection string, id string, score int, text string")
+    got = union.drop_near_copies(hits, "text", [desc("score"), F.col("id").asc()], similarity=0.75)
+    assert {(r["query_id"], r["id"]) for r in got.collect()} == {(q, f"d{n}") for q in "ab" for n in range(400)}
+    assert got.count() == 800 and got.columns == hits.columns
+
+
 def test_whole_search_and_json(spark):
     docs = local_table(spark, [("1", "red ring", "a", 5), ("2", "red rod", "b", 9), ("3", "blue ring", "a", 1)], "id string, name string, brand string, price int")
     queries = local_table(spark, [("x", "red"), ("y", "nothing"), ("z", "ring")], "query_id string, q string")
