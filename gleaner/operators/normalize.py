@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.coerce import coerce
-from gleaner.functions.skew import chunk_numbers
+from gleaner.functions.skew import ordinals
 from gleaner.operators.schema import Collection
 
-# Nested lists above this size are split over several rows of the parent.
+# Children in one part of a nested list.
 NEST_LIMIT = 10_000
 
 
@@ -65,11 +65,14 @@ def nest_many(
 ) -> DataFrame:
     """To-many relation as a sorted list of nested items.
 
-    A parent with more than ``limit`` children is returned as several rows,
-    numbered by ``part``, so that no task builds one unbounded list.
+    The n-th child in sorted order lies in ``part`` floor((n - 1) / ``limit``),
+    a row of its own, so that no task builds one unbounded list and the parts
+    in order are the sorted list. ``spread_by`` has no effect on the result.
     """
-    parted = chunk_numbers(children, [child_key], spread_by, limit)
-    lists = parted.groupBy(child_key, "part").agg(F.sort_array(F.collect_list(item)).alias(name))
+    given = children.select(F.col(child_key), item.alias("_item")).filter(F.col(child_key).isNotNull() & F.col("_item").isNotNull())
+    numbered = ordinals(given, [child_key], [F.col("_item").asc()], "_n")
+    parted = numbered.withColumn("part", F.floor((F.col("_n") - 1) / limit).cast("int"))
+    lists = parted.groupBy(child_key, "part").agg(F.sort_array(F.collect_list("_item")).alias(name))
     kept = lists.withColumnRenamed(child_key, "_child_key")
     joined = parents.join(kept, parents[parent_key] == F.col("_child_key"), "left").drop("_child_key")
     empty = F.array().cast(joined.schema[name].dataType)

@@ -187,6 +187,14 @@ def test_to_many_lists_stay_whole_and_hot_parents_are_split(spark):
     assert len([r for r in split if r["id"] == 9]) == 1
 
 
+def test_parts_of_a_hot_parent_are_its_sorted_list(spark):
+    parents = local_table(spark, [(7,), (8,), (9,)], "id long")
+    children = local_table(spark, [(7, n * 17 % 50) for n in range(50)] + [(8, 1)], "invoice long, line long")
+    rows = nest_many(parents, children, "id", "invoice", F.col("line"), "lines", ["line"], limit=10).collect()
+    got = {(r["id"], r["part"]): r["lines"] for r in rows}
+    assert got == {(7, p): list(range(10 * p, 10 * p + 10)) for p in range(5)} | {(8, 0): [1], (9, 0): []}
+
+
 def test_truncate_and_project(spark):
     rows = local_table(spark, [(1, "abcdef", "z")], "id long, t string, u string")
     docs = normalize(rows, Collection("c", (Field("t", "string", truncate=3), Field("u", "string"))))
