@@ -19,7 +19,6 @@ from gleaner.session import local_table
 QUERIES_PER_SCAN = 2048
 # Distances are ranked at this precision, so that the order of summation does not matter.
 DIGITS = 9
-DIVERSIFIED = 250
 
 
 def _distances(queries: np.ndarray, docs: np.ndarray, metric: str) -> np.ndarray:
@@ -221,13 +220,14 @@ def fuse(text: DataFrame, near: DataFrame, text_weight: float = 0.5, vector_weig
     )
 
 
-def diversify(candidates: DataFrame, k: int, balance: float = 0.5, depth: int = DIVERSIFIED) -> DataFrame:
+def diversify(candidates: DataFrame, k: int, balance: float = 0.5, depth: int | None = None) -> DataFrame:
     """Greedy choice of relevant but different hits (maximal marginal relevance).
 
-    ``candidates`` is a ranked list (query_id, id, distance, vector, rank); its
-    first ``depth`` places are reordered, one result page by default.
+    ``candidates`` is a ranked list (query_id, id, distance, vector, rank). All of
+    it is chosen from, or its first ``depth`` places; a query's candidates meet in one task.
     """
-    page = candidates.filter(F.col("rank") <= depth).select("query_id", "id", "distance", "vector")
+    near = candidates if depth is None else candidates.filter(F.col("rank") <= depth)
+    page = near.select("query_id", "id", "distance", "vector")
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["distance", "id"]).reset_index(drop=True)

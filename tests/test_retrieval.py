@@ -140,6 +140,13 @@ def test_diversified_order_against_brute_force(spark, balance):
     assert got == [listed[i]["id"] for i in expected]
 
 
+def test_diversified_lists_are_as_long_as_asked_for(spark):
+    near = knn.knn(vector_table(spark, cloud(400, 7)), vector_table(spark, cloud(1, 8), "query_id"), 400)
+    rows = near.join(vector_table(spark, cloud(400, 7)), "id").cache()
+    assert knn.diversify(rows, 300).count() == 300
+    assert knn.diversify(rows, 300, depth=20).count() == 20
+
+
 def test_embedding_models_by_name(spark):
     docs = local_table(spark, [("1", "red", "ring"), ("2", "red", "ring"), ("3", "", "")], "id string, a string, b string")
     rows = {r["id"]: r["embedding"] for r in auto_embed(docs, ["a", "b"]).collect()}
