@@ -35,15 +35,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: that with the smallest doc_id, once.
+    """One document of each group of similar ones: that with the smallest doc_id, null last.
 
-    Documents without shingles, and those with a null doc_id, are no copies
-    and stay; rows that repeat a document in every column are its copies.
+    Documents without shingles are no copies and stay. Rows are told apart by
+    all their columns; rows that repeat a document in every column are its copies.
     """
-    linked = jaccard.link(docs).select("doc_id", "component_id").distinct()
-    ids = linked.filter("doc_id = component_id").select("doc_id")
-    named = docs.filter("doc_id IS NOT NULL").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+    others = F.to_json(F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")]))
+    key = F.struct(
+        F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"),
+        F.xxhash64("text").alias("digest"), F.xxhash64(others).alias("others"),
+    )
+    keyed = docs.withColumn("_key", key)
+    linked = jaccard.link(keyed.select("_key", "text"), "_key")
+    firsts = linked.filter(F.col("_key").eqNullSafe(F.col("component_id"))).select("_key").distinct()
+    return keyed.join(firsts, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,6 +32,17 @@ def test_stages_keep_and_drop(spark, tmp_path):
     assert sorted(r["slot"] for r in records) == list(range(len(records))) and records
 
 
+def test_near_copies_with_shared_and_missing_ids(spark, tmp_path):
+    rows = [(1, text(1), "en", "a", 1), (2, text(2), "en", "a", 1), (2, text(1) + " end", "en", "a", 1), (2, text(3), "en", "a", 1)]
+    rows += [(None, text(4), "en", "a", 1), (None, text(4), "en", "b", 1), (None, text(4) + " end", None, "a", 1), (None, text(2), "en", "a", 1)]
+    rows += [(None, text(5), "en", "a", 1)] * 2
+    kept = pipeline.near_copies(spark, spark.createDataFrame(rows, COLUMNS), str(tmp_path)).collect()
+    named = sorted((r["doc_id"], r["text"]) for r in kept if r["doc_id"] is not None)
+    assert named == sorted([(1, text(1)), (2, text(2)), (2, text(3))])
+    unnamed = [r["text"] for r in kept if r["doc_id"] is None]
+    assert len(unnamed) == 2 and text(5) in unnamed and any(t.startswith(text(4)) for t in unnamed)
+
+
 def test_stages_take_empty_tables(spark, tmp_path):
     docs = spark.createDataFrame([], COLUMNS)
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
