@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, decontaminate, jaccard, lm, mixing, quality, sharding, token_shards, warc
+from gleaner.llm import (
+    bpe, chat, decontaminate, jaccard, lm, merkle, mixing, quality, sharding, simhash, spelling, token_shards, warc,
+)
 from gleaner.session import local_table, table, work_path
 
 QUERIES: dict = {}
@@ -92,3 +94,18 @@ def op9_chat_templates(spark: SparkSession, sf: str) -> DataFrame:
 )
 def op10_benchmark_phrases(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op11_merkle_manifest", merkle.manifest_sql(sharding.CRC_TABLE_SQL, sharding.crc32_sql("doc_id::VARCHAR")))
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.tampered_manifest(table(spark, sf, "documents"))
+
+
+@query("op12_spelling_variants", spelling.variants_sql(sharding.CRC_TABLE_SQL, sharding.crc32_sql("said")))
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf, "documents"))
+
+
+@query("op13_simhash_copies")
+def op13_simhash_copies(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.linked_documents(table(spark, sf, "documents"))
