@@ -12,6 +12,8 @@ from gleaner.session import work_root
 GROUP_LIMIT = 1000
 # Rows (some 100 bytes each) that may be sent to every task.
 BROADCAST_ROWS = 200_000
+# Bytes of rows of any length that may be sent to every task.
+BROADCAST_BYTES = 64 << 20
 
 
 def spread(scan: DataFrame) -> DataFrame:
@@ -83,31 +85,17 @@ def ordinals(df: DataFrame, keys: list[str], order: list[Column], name: str = "r
     )
 
 
-def chunk_numbers(df: DataFrame, keys: list[str], spread_by: list[str], size: int, name: str = "part") -> DataFrame:
-    """Split the rows of each key into parts of about ``size`` rows; small keys stay whole.
-
-    Only the keys above ``size`` are joined back, and there are few of them:
-    at most one per ``size`` rows of the input.
-    """
-    heavy = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > size)
-        .withColumn("_parts", F.ceil(F.col("_rows") / size))
-        .drop("_rows")
-    )
-    heavy, found = broadcast_checked(heavy)
-    if not found:
-        return df.withColumn(name, F.lit(0))
-    part = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_parts")), F.lit(0)).cast("int")
-    return df.join(heavy, keys, "left").withColumn(name, part).drop("_parts")
-
-
-def broadcast_checked(df: DataFrame, most: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
+def broadcast_checked(df: DataFrame, most: int = BROADCAST_ROWS, size: Column | None = None) -> tuple[DataFrame, int | None]:
     """The rows with a broadcast hint if their counted number allows it; and that number.
 
-    The counted rows are kept, so they are not computed a second time.
+    ``size`` gives the bytes of a row where rows can be long; then their sum is
+    checked too, and the number is None for rows that are not sent. The counted
+    rows are kept, so they are not computed a second time.
     """
     df = df.persist()
-    rows = df.count()
-    return (F.broadcast(df) if rows <= most else df), rows
+    if size is None:
+        rows = df.count()
+        return (F.broadcast(df) if rows <= most else df), rows
+    rows, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    fits = rows <= most and total <= BROADCAST_BYTES
+    return (F.broadcast(df) if fits else df), (rows if fits else None)

@@ -300,7 +300,7 @@ def _score(found: DataFrame, how: Match, masks: int) -> DataFrame:
     counted = grouped.withColumns(parts)
     if by_row:
         counted = _join_blocks(counted, how)
-    return counted.select("query_id", "id", "n_tokens", *_scores(how), *_levels())
+    return counted.select("query_id", "id", "n_tokens", *document_scores(how), *_levels())
 
 
 def _join_blocks(counted: DataFrame, how: Match) -> DataFrame:
@@ -320,7 +320,7 @@ def _join_blocks(counted: DataFrame, how: Match) -> DataFrame:
     return counted.groupBy("query_id", "id").agg(*aggs)
 
 
-def _scores(how: Match) -> list[Column]:
+def document_scores(how: Match) -> list[Column]:
     """Document score from field scores; the weights of the terms are fixed values."""
     per_field, weights = [], []
     for i, name in enumerate(how.fields):

@@ -45,3 +45,10 @@ def local_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     schema = T.StructType.fromDDL(ddl)
     data = pa.Table.from_pylist([dict(zip(schema.names, row)) for row in rows], schema=to_arrow_schema(schema))
     return spark.createDataFrame(data, schema=schema)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder and read from there: later plans start at the written table."""
+    folder = work_path(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gleaner.functions.text import tokens
 from gleaner.operators import highlight as marks
 from gleaner.operators import rank
+from gleaner.operators.levels import match_documents
 from gleaner.operators.lexical import synonym_pairs
 from gleaner.operators.match import EXACT_ONLY, Match, search
 from gleaner.operators.postings import occurrences, postings
@@ -26,12 +27,12 @@ NAME_TYPE = ["p_name", "p_type"]
 def product_hits(spark, sf, rows, fields=NAME_TYPE, where=None, **options):
     docs = products(spark, sf) if where is None else products(spark, sf).filter(where)
     how = Match(tuple(fields), **(EXACT_ONLY | options))
-    return search(postings(docs, list(fields)), requests(spark, rows), how)
+    return match_documents(docs, list(fields), requests(spark, rows), how)
 
 
 def document_hits(spark, sf, rows, **options):
     how = Match(("text",), **(EXACT_ONLY | options))
-    return search(postings(documents(spark, sf), ["text"]), requests(spark, rows), how)
+    return match_documents(documents(spark, sf), ["text"], requests(spark, rows), how)
 
 
 def on_products(key, rows, fields=NAME_TYPE, spark_options=None, **sql_options):
@@ -80,7 +81,7 @@ def search_turns(spark, sf):
     turns = table(spark, sf, "conversations").filter("role = 'user'")
     batch = turns.select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("query_id"), F.col("text").alias("q"))
     how = Match(("text",), **(EXACT_ONLY | {"drop_tokens_threshold": 1}))
-    return search(postings(documents(spark, sf), ["text"]), batch, how)
+    return match_documents(documents(spark, sf), ["text"], batch, how)
 
 
 WEIGHTS = {"p_name": 2, "p_type": 5}

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.functions import decay, geo
-from gleaner.functions.skew import chunk_numbers, ordinals, spread, top_by, top_n
+from gleaner.functions.skew import broadcast_checked, ordinals, spread, top_by, top_n
 from gleaner.operators import curation, facets, highlight, rank
 from gleaner.operators.fanout import REQUESTS_PER_SCAN, fan_out
 from gleaner.session import local_table
@@ -58,14 +58,14 @@ def test_top_by_takes_the_limit_from_the_row(spark):
     assert as_ranks(top_by(limited, ["query_id"], order(), "n")) == expected
 
 
-def test_chunks_keep_every_row_and_split_only_hot_keys(spark):
-    _, df = rows_of(spark)
-    parts = chunk_numbers(df, ["query_id"], ["id"], 100)
-    sizes = {(r["query_id"], r["part"]): r["count"] for r in parts.groupBy("query_id", "part").count().collect()}
-    assert sum(sizes.values()) == 600
-    hot = [n for (q, _), n in sizes.items() if q == "hot"]
-    assert len(hot) > 2 and max(hot) < 200
-    assert all(part == 0 for q, part in sizes if q != "hot")
+def test_broadcast_is_checked_by_rows_and_bytes(spark, monkeypatch):
+    from gleaner.functions import skew
+
+    df = spark.range(100).withColumn("n", F.lit(10))
+    assert broadcast_checked(df)[1] == 100 and broadcast_checked(df, most=99)[1] == 100
+    assert broadcast_checked(df, size=F.col("n"))[1] == 100
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 999)
+    assert broadcast_checked(df, size=F.col("n"))[1] is None
 
 
 def test_spread_leaves_enough_partitions_alone(spark):
