@@ -1,4 +1,4 @@
-"""Nearest neighbours: exact by scan, approximate by cells; hybrid ranking; diversification."""
+"""Nearest neighbours by blocks of matrices, exact or within cells; hybrid ranking; diversification."""
 
 from __future__ import annotations
 
@@ -6,22 +6,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.skew import top_n
-from gleaner.functions.vectors import METRICS, distance
-from gleaner.session import local_table
+from gleaner.functions.vectors import METRICS
+from gleaner.session import stored
 
-# Query vectors held by a task at a time; larger batches take several scans.
-QUERIES_PER_SCAN = 2048
+# Query vectors and vectors of a cell that meet in one task, and vectors measured at a time.
+QUERIES_PER_BLOCK = 2048
+VECTORS_PER_PART = 16384
+SCANNED = 2048
 # Distances are ranked at this precision, so that the order of summation does not matter.
 DIGITS = 9
 
 
-def _distances(queries: np.ndarray, docs: np.ndarray, metric: str) -> np.ndarray:
+def distances(queries: np.ndarray, docs: np.ndarray, metric: str) -> np.ndarray:
     if metric == "l2sq":
         # Row by row: the expanded form loses digits for close vectors.
         return np.stack([((docs - q) ** 2).sum(axis=1) for q in queries])
@@ -40,44 +43,62 @@ def _pairs(measured: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(measured <= kth)
 
 
-def _nearest_in_task(
-    names: list[str], matrix: np.ndarray, k: int, metric: str, threshold: float | None = None,
-    probing: dict[int, np.ndarray] | None = None,
-):
-    """Scan of a task's vectors that keeps the k best per query.
+def matrix(rows: pa.Table) -> np.ndarray:
+    listed = rows.column("vector").combine_chunks()
+    return listed.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(listed), -1)
 
-    ``probing`` maps a cell to the queries that look into it; without it
-    every query sees every vector.
+
+def in_blocks(docs: DataFrame, queries: DataFrame, run, shape: str, carried: list[str] = ()) -> DataFrame:
+    """What ``run`` makes of the documents and queries that share a cell, block by block.
+
+    Both sides have id or query_id, vector, cell, and two numbers that are the
+    same for all rows of a cell: ``parts`` and ``blocks``. The documents of a
+    cell are dealt to its parts, its queries to its blocks, and every part meets
+    every block as two tables in one task. So neither a large cell nor a large
+    batch ends in one task, no vector passes the driver, and the way is the
+    same for one query and for many.
     """
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n).cast("int") - 1))
+    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+    left = docs.select("id", "vector", "cell", dealt("id", "parts").alias("part"), every("blocks").alias("block"))
+    right = queries.select("query_id", "vector", *carried, "cell", dealt("query_id", "blocks").alias("block"), every("parts").alias("part"))
+    return left.groupBy("cell", "part", "block").cogroup(right.groupBy("cell", "part", "block")).applyInArrow(run, shape)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: pd.DataFrame | None = None
-        for batch in batches:
-            if not len(batch):
-                continue
-            found = []
-            blocks = [(None, batch)] if probing is None else batch.groupby("cell")
-            for cell, rows in blocks:
-                asking = np.arange(len(names)) if cell is None else probing.get(int(cell))
-                if asking is None:
-                    continue
-                docs = np.stack(rows["vector"].to_numpy()).astype(np.float64)
-                measured = np.round(_distances(matrix[asking], docs, metric), DIGITS) + 0.0
-                q, d = _pairs(measured, k)
-                found.append(pd.DataFrame({"q": asking[q], "id": rows["id"].to_numpy()[d], "distance": measured[q, d]}))
-            if not found:
-                continue
-            new = pd.concat(found)
-            if threshold is not None:
-                new = new[new["distance"] <= threshold]
-            merged = new if best is None else pd.concat([best, new])
-            best = merged.sort_values(["q", "distance", "id"]).groupby("q").head(k)
-        if best is not None and len(best):
-            yield pd.DataFrame(
-                {"query_id": [names[i] for i in best["q"]], "id": best["id"], "distance": best["distance"]}
-            )
 
-    return run
+def sized(docs: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides as one cell: twice as many parts as the documents are read in, and blocks by the count of the queries."""
+    parts = max(2 * docs.rdd.getNumPartitions(), docs.sparkSession.sparkContext.defaultParallelism)
+    blocks = max(1, -(-queries.count() // QUERIES_PER_BLOCK))
+    one = {"cell": F.lit(0), "parts": F.lit(parts), "blocks": F.lit(blocks)}
+    return docs.withColumns(one), queries.withColumns(one)
+
+
+def _nearest_in_blocks(docs: DataFrame, queries: DataFrame, k: int, metric: str, threshold: float | None = None) -> DataFrame:
+    """The ``k`` best per query of documents and queries that share a cell: (query_id, id, distance, rank).
+
+    Every part keeps k rows per query.
+    """
+    if metric not in METRICS:
+        raise ValueError(f"metric must be one of {METRICS}, got {metric!r}")
+
+    def run(near: pa.Table, asking: pa.Table) -> pa.Table:
+        best = pd.DataFrame({"q": np.zeros(0, np.int64), "id": np.zeros(0, object), "distance": np.zeros(0)})
+        if near.num_rows and asking.num_rows:
+            wanted = matrix(asking)
+            for start in range(0, near.num_rows, SCANNED):
+                rows = near.slice(start, SCANNED)
+                measured = np.round(distances(wanted, matrix(rows), metric), DIGITS) + 0.0
+                q, d = _pairs(measured, k)
+                found = pd.DataFrame({"q": q, "id": rows.column("id").to_pandas().to_numpy()[d], "distance": measured[q, d]})
+                if threshold is not None:
+                    found = found[found["distance"] <= threshold]
+                best = pd.concat([best, found]).sort_values(["q", "distance", "id"]).groupby("q").head(k)
+        names = asking.column("query_id").to_pandas().to_numpy()
+        columns = [pa.array(names[best["q"].to_numpy()], pa.string()), pa.array(best["id"], pa.string()), pa.array(best["distance"], pa.float64())]
+        return pa.table(columns, names=["query_id", "id", "distance"])
+
+    local = in_blocks(docs, queries, run, "query_id string, id string, distance double")
+    return top_n(local, ["query_id"], [F.col("distance").asc(), F.col("id").asc()], k)
 
 
 def knn(
@@ -85,34 +106,13 @@ def knn(
 ) -> DataFrame:
     """The ``k`` nearest (id, vector) for every (query_id, vector): (query_id, id, distance, rank).
 
-    Every task keeps its own k best per query while it scans, so k rows per
-    query and task are shuffled, never the pairs. Query vectors travel to the
-    tasks in blocks of checked size; more queries take more scans.
+    The documents are read, or embedded, once and dealt to twice as many parts
+    as they are read in. The queries are written and counted first; beyond
+    QUERIES_PER_BLOCK of them every part meets several blocks.
     """
-    if metric not in METRICS:
-        raise ValueError(f"metric must be one of {METRICS}, got {metric!r}")
-    out = None
-    source = docs.filter(F.col("vector").isNotNull()).select("id", "vector")
-    for names, matrix in _query_blocks(queries):
-        run = _nearest_in_task(names, matrix, k, metric, threshold)
-        local = source.mapInPandas(run, "query_id string, id string, distance double")
-        out = local if out is None else out.unionByName(local)
-    if out is None:
-        out = local_table(source.sparkSession, [], "query_id string, id string, distance double")
-    return top_n(out, ["query_id"], [F.col("distance").asc(), F.col("id").asc()], k)
-
-
-def _query_blocks(queries: DataFrame):
-    """Query vectors in blocks that fit a task; read one block at a time."""
-    names, rows = [], []
-    for row in queries.select("query_id", "vector").orderBy("query_id").toLocalIterator():
-        names.append(row["query_id"])
-        rows.append(np.asarray(row["vector"], dtype=np.float64))
-        if len(names) == QUERIES_PER_SCAN:
-            yield names, np.stack(rows)
-            names, rows = [], []
-    if names:
-        yield names, np.stack(rows)
+    asked = stored(queries.filter(F.col("vector").isNotNull()).select("query_id", "vector"), "queries")
+    source = docs.filter(F.col("vector").isNotNull()).select(F.col("id").cast("string").alias("id"), "vector")
+    return _nearest_in_blocks(*sized(source, asked), k, metric, threshold)
 
 
 def knn_by_id(docs: DataFrame, wanted: DataFrame, k: int, metric: str = "cosine") -> DataFrame:
@@ -170,44 +170,19 @@ def probe_cells(queries: DataFrame, model, probes: int, metric: str = "cosine")
 
 
 def knn_cells(
-    placed: DataFrame, queries: DataFrame, model, k: int, probes: int, metric: str = "cosine",
-    most: int = QUERIES_PER_SCAN, salts: int = 64,
+    placed: DataFrame, queries: DataFrame, model, k: int, probes: int, metric: str = "cosine"
 ) -> DataFrame:
     """Approximate neighbours: only the ``probes`` cells nearest to a query are compared.
 
-    Up to ``most`` queries travel to the tasks, and the cells they name are
-    scanned in place. More queries meet the vectors in a join on the cell; a
-    cell may hold a large share of all vectors, so each is split into
-    ``salts`` sub-cells and the query rows are repeated for them.
+    The documents (id, vector, cell) and the queries of each cell are counted,
+    a row per cell, so a cell with a large share of all vectors has more parts.
     """
-    probed = probe_cells(queries, model, probes, metric)
-    first = queries.limit(most + 1).count()
-    if first <= most:
-        return _knn_scanned_cells(placed, probed, k, metric)
-    salted = placed.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
-    repeated = probed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    measured = salted.join(repeated, ["cell", "salt"]).select(
-        "query_id", "id", F.round(distance(F.col("query_vector"), F.col("vector"), metric), DIGITS).alias("distance")
-    )
-    return top_n(measured, ["query_id"], [F.col("distance").asc(), F.col("id").asc()], k)
-
-
-def _knn_scanned_cells(placed: DataFrame, probed: DataFrame, k: int, metric: str) -> DataFrame:
-    names: dict[str, int] = {}
-    rows, probing = [], {}
-    for row in probed.toLocalIterator():
-        if row["query_id"] not in names:
-            names[row["query_id"]] = len(names)
-            rows.append(np.asarray(row["query_vector"], dtype=np.float64))
-        probing.setdefault(row["cell"], []).append(names[row["query_id"]])
-    schema = "query_id string, id string, distance double"
-    if not rows:
-        return local_table(placed.sparkSession, [], schema + ", rank int")
-    probing = {cell: np.asarray(asking) for cell, asking in probing.items()}
-    run = _nearest_in_task(list(names), np.stack(rows), k, metric, probing=probing)
-    near = placed.filter(F.col("cell").isin(*probing)).select("id", "vector", "cell")
-    local = near.mapInPandas(run, schema)
-    return top_n(local, ["query_id"], [F.col("distance").asc(), F.col("id").asc()], k)
+    probed = stored(probe_cells(queries, model, probes, metric), "probed")
+    asked = probed.select("query_id", F.col("query_vector").alias("vector"), "cell")
+    held = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / VECTORS_PER_PART).alias("parts"))
+    asking = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERIES_PER_BLOCK).alias("blocks"))
+    sizes = F.broadcast(stored(held.join(asking, "cell"), "cells"))  # a row per centre of the model
+    return _nearest_in_blocks(placed.join(sizes, "cell"), asked.join(sizes, "cell"), k, metric)
 
 
 def fuse(text: DataFrame, near: DataFrame, text_weight: float = 0.5, vector_weight: float = 0.5, constant: int = 60) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.vectors import distance
 from gleaner.operators import knn as nn
-from gleaner.operators import rank
 from gleaner.operators.embed import auto_embed
+from gleaner.operators.fusion import fused_page
 from gleaner.session import local_table, table
 from gleaner.workload import oracle
 from gleaner.workload.base import DOCUMENTS, documents, query, rounded, sql_rounded, vectors
@@ -97,23 +97,24 @@ _TEXTS = [("label0", "the of"), ("label3", "der und"), ("label7", "is that")]
 
 @query(
     "hybrid",
-    f"""WITH {oracle.search_ctes(DOCUMENTS, ['text'], _TEXTS)}, t AS ({oracle.top('score DESC, weight DESC', 50)}),
-    n AS (SELECT query_id, id, rank FROM ({_nearest(50)}) WHERE query_id IN ('label0', 'label3', 'label7')),
+    f"""WITH {oracle.search_ctes(DOCUMENTS, ['text'], _TEXTS)}, t AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, weight DESC, id) AS rank FROM hits),
+    n AS (SELECT query_id, id, rank FROM ({_nearest(10**9)}) WHERE query_id IN ('label0', 'label3', 'label7')),
     f AS (SELECT query_id, id, coalesce(0.7 / (60 + t.rank), 0) + coalesce(0.3 / (60 + n.rank), 0) AS fused FROM t FULL OUTER JOIN n USING (query_id, id)),
     r AS (SELECT *, {sql_rounded('fused', 9)} AS shown FROM f) {oracle.top('shown DESC', 20, 'shown AS fused', 'r')}""",
 )
 def hybrid(spark, sf):
-    """Text matches and vector neighbours of the same documents in one ranking."""
+    """All text matches and all vectors of the same documents in one ranking."""
     wanted = centres(spark, sf).filter(F.col("query_id").isin(*[q for q, _ in _TEXTS]))
-    near = nn.knn(vectors(spark, sf), wanted, 50)
-    text = rank.page(document_hits(spark, sf, _TEXTS), rank.default_order(), per_page=50)
-    fused = nn.fuse(text, near, 0.7, 0.3).withColumn("fused", rounded(F.col("fused"), 9))
-    return rank.page(fused, [rank.desc("fused")], per_page=20).select("query_id", "id", "fused", "rank")
+    return fused_page(document_hits(spark, sf, _TEXTS), vectors(spark, sf), wanted, 20, 0.7, 0.3)
+
+
+# Neighbours among which mmr chooses: the candidates of the operator are the top k, and this is its k.
+MMR_CANDIDATES = 50
 
 
 def _candidates(spark, sf):
     docs = vectors(spark, sf)
-    near = nn.knn(docs, centres(spark, sf), 50)
+    near = nn.knn(docs, centres(spark, sf), MMR_CANDIDATES)
     return near.join(docs.select("id", "vector"), "id")
 
 

@@ -59,9 +59,10 @@ def test_exact_neighbours_with_many_equal_vectors(spark, metric):
     assert triples(knn.knn(docs, vector_table(spark, queries, "query_id"), 7, metric)) == brute(points, queries, 7, metric)
 
 
-def test_more_queries_than_one_scan(spark, monkeypatch):
+def test_more_queries_than_one_block(spark, monkeypatch):
     points, queries = cloud(60, 1), cloud(9, 2)
-    monkeypatch.setattr(knn, "QUERIES_PER_SCAN", 4)
+    monkeypatch.setattr(knn, "QUERIES_PER_BLOCK", 4)
+    monkeypatch.setattr(knn, "SCANNED", 7)
     assert triples(knn.knn(vector_table(spark, points), vector_table(spark, queries, "query_id"), 3)) == brute(points, queries, 3, "cosine")
 
 
@@ -90,7 +91,7 @@ def test_distance_columns_agree_with_the_scan(spark):
         assert scanned == pytest.approx(columns, abs=1e-8)
 
 
-def test_cells_join_and_scan_agree_and_recall_is_high(spark):
+def test_cells_in_one_part_and_in_many_agree_and_recall_is_high(spark, monkeypatch):
     rnd = np.random.default_rng(9)
     centres = rnd.normal(size=(12, DIM)) * 4
     points = (centres[rnd.integers(0, 12, 600)] + rnd.normal(size=(600, DIM))).astype(np.float32)
@@ -99,8 +100,9 @@ def test_cells_join_and_scan_agree_and_recall_is_high(spark):
     model = knn.fit_cells(docs, 8)
     placed = knn.assign_cells(docs, model)
     scanned = triples(knn.knn_cells(placed, asked, model, 10, probes=3))
-    joined = triples(knn.knn_cells(placed, asked, model, 10, probes=3, most=0))
-    assert scanned == joined
+    monkeypatch.setattr(knn, "VECTORS_PER_PART", 20)
+    monkeypatch.setattr(knn, "QUERIES_PER_BLOCK", 3)
+    assert scanned == triples(knn.knn_cells(placed, asked, model, 10, probes=3))
     exact = brute(points, queries, 10, "cosine")
     found = {(q, d) for q, d, _ in scanned}
     assert len(found & {(q, d) for q, d, _ in exact}) >= 0.9 * len(exact)
