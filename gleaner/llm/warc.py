@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.skew import broadcast_checked
+from gleaner.llm.native import stored
 
 END = "\r\n"
 CLOSE = END + END
@@ -93,7 +94,7 @@ def write_archives(pages: DataFrame, folder: str) -> None:
         "request", _id("request", F.col("page_id"), F.col("digest")), uri, "application/http; msgtype=request",
         F.concat(F.lit("GET "), uri, F.lit(" HTTP/1.1"), F.lit(CLOSE)), concurrent,
     )
-    stored = _record(
+    capture = _record(
         F.when(again, F.lit("revisit")).otherwise(F.lit("response")), head, uri, "application/http; msgtype=response",
         F.concat(http, F.when(again, F.lit("")).otherwise(F.col("html"))),
         F.concat(F.lit("WARC-Payload-Digest: sha256:"), F.col("digest")),
@@ -101,7 +102,7 @@ def write_archives(pages: DataFrame, folder: str) -> None:
     )
     page = F.concat(F.lit("page_id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(END))
     metadata = _record("metadata", _id("metadata", F.col("page_id"), F.col("digest")), uri, "application/warc-fields", page, concurrent)
-    marked.select(F.explode(F.array(request, stored, metadata)).alias("value")).write.text(
+    marked.select(F.explode(F.array(request, capture, metadata)).alias("value")).write.text(
         folder, compression="gzip", lineSep=CLOSE
     )
     firsts.unpersist()
@@ -243,6 +244,8 @@ def assemble(records: DataFrame) -> DataFrame:
 def page_digests(records: DataFrame) -> DataFrame:
     """What became of every page, read from the archives: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
+    The archives are parsed once: lengths, digests and references are written
+    as narrow rows, and the joins read those. Payloads are not shuffled.
     Length and digest of a revisit are those of the response it refers to. A
     page whose page_id was null has a null page_id here.
     """
@@ -252,6 +255,7 @@ def page_digests(records: DataFrame) -> DataFrame:
         F.octet_length("payload").cast("long").alias("bytes"),
         F.sha2("payload", 256).alias("digest"),
     )
+    narrow = stored(narrow, "records")
     page = lambda c: F.when(F.col(c) != "", F.col(c).cast("long"))
     captures = assemble(narrow).select("capture", F.col("metadata")[0]["page"].alias("page"), "original")
     named = captures.select(F.col("capture.record_id").alias("id"), F.col("page").alias("first")).groupBy("id").agg(F.min("first").alias("first"))

@@ -428,3 +428,23 @@ def test_near_places_need_a_slop(spark, docs):
     places = lambda slop: sorted({(r["doc_id"], r["exact"]) for r in decontaminate.find(index, sought, slop).collect()})
     assert places(0) == [(2, True)]
     assert places(1) == [(1, False), (2, True)]
+
+
+def test_warc_keeps_very_long_and_much_shared_payloads(spark):
+    huge = "WARC/1.1\r\n\r\nContent-Length: 3\r\n" * 150_000  # some 4.5 MB that look like headers
+    rows = [(i, f"http://h/{i}", "<p>shared " + "x" * 200 if i % 3 == 0 else f"<p>own {i} " + "y\n" * (i % 90)) for i in range(120)]
+    rows += [(500, "http://h/huge", huge), (499, "http://h/huge2", huge), (501, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = work_path(spark, "warc")
+    warc.write_archives(pages.repartition(5), folder)
+    found = {r["page_id"]: r for r in warc.page_digests(warc.read_archives(spark, folder)).collect()}
+    assert set(found) == {r[0] for r in rows}
+    first = {}
+    for page_id, _, html in sorted(rows):
+        first.setdefault(html or "", page_id)
+    for page_id, _, html in rows:
+        body = (html or "").encode()
+        again = len(body) >= 100 and first[html or ""] != page_id
+        wanted = (len(body), hashlib.sha256(body).hexdigest(), "revisit" if again else "response", first[html or ""] if again else None)
+        r = found[page_id]
+        assert (r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) == wanted
