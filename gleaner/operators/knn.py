@@ -12,14 +12,16 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.functions.skew import top_n
-from gleaner.functions.vectors import METRICS
+from gleaner.functions.skew import broadcast_checked, top_n
+from gleaner.functions.vectors import METRICS, dot, norm
 from gleaner.session import stored
 
 # Query vectors and vectors of a cell that meet in one task, and vectors measured at a time.
 QUERIES_PER_BLOCK = 2048
 VECTORS_PER_PART = 16384
 SCANNED = 2048
+# Candidates of a query that a diversifying round looks at.
+WORKING = 1024
 # Distances are ranked at this precision, so that the order of summation does not matter.
 DIGITS = 9
 
@@ -195,33 +197,74 @@ def fuse(text: DataFrame, near: DataFrame, text_weight: float = 0.5, vector_weig
     )
 
 
-def diversify(candidates: DataFrame, k: int, balance: float = 0.5, depth: int | None = None) -> DataFrame:
+def _cosine(a: Column, b: Column) -> Column:
+    length = norm(a) * norm(b)
+    return F.when(length == 0, F.lit(0.0)).otherwise(dot(a, b) / F.nullif(length, F.lit(0.0)))
+
+
+def _choose(rows: pd.DataFrame, k: int, balance: float, working: int) -> pd.DataFrame:
+    """Picks among the best rows of a query, as long as none that was left out can come before."""
+    rows = rows.sort_values("place").reset_index(drop=True)
+    done, beyond = int(rows["done"].iloc[0]), None
+    if len(rows) > working:
+        beyond = rows.iloc[working]
+        rows = rows.iloc[:working]
+    points = np.stack(rows["vector"].to_numpy()).astype(np.float64)
+    lengths = np.linalg.norm(points, axis=1, keepdims=True)
+    points = np.divide(points, lengths, out=np.zeros_like(points), where=lengths > 0)
+    relevance = 1.0 - rows["distance"].to_numpy()
+    closest, any_pick = rows["closest"].fillna(0.0).to_numpy().copy(), done > 0
+    by_name = np.lexsort([rows["id"].to_numpy().astype(str), rows["distance"].to_numpy()])
+    left = np.ones(len(rows), dtype=bool)
+    order: list[int] = []
+    while done + len(order) < k and left.any():
+        gain = np.round(np.where(left, balance * relevance - (1.0 - balance) * closest, -np.inf), DIGITS)
+        pick = int(by_name[np.argmax(gain[by_name])])
+        if beyond is not None and order:
+            # Before the first pick nothing is known of what stands beyond; later its gain can only fall.
+            mine = (-gain[pick], rows["distance"].iloc[pick], rows["id"].iloc[pick])
+            if not any_pick or mine > (-beyond["gain"], beyond["distance"], beyond["id"]):
+                break
+        order.append(pick)
+        left[pick] = False
+        similar = points @ points[pick]
+        closest = similar if done == 0 and len(order) == 1 else np.maximum(closest, similar)
+    out = rows.loc[order, ["query_id", "id", "distance", "vector"]].copy()
+    out["rank"] = range(done + 1, done + len(out) + 1)
+    return out
+
+
+def diversify(
+    candidates: DataFrame, k: int, balance: float = 0.5, depth: int | None = None, working: int = WORKING
+) -> DataFrame:
     """Greedy choice of relevant but different hits (maximal marginal relevance).
 
-    ``candidates`` is a ranked list (query_id, id, distance, vector, rank). All of
-    it is chosen from, or its first ``depth`` places; a query's candidates meet in one task.
+    ``candidates`` is a ranked list (query_id, id, distance, vector, rank); all
+    of it is chosen from, or its first ``depth`` places. A round takes the
+    ``working`` candidates with the largest gains of each query to one task,
+    which picks as long as its best comes before the best of those left behind:
+    gains only fall with every pick, so that is the greedy choice among all.
+    Then the others learn how close they are to the new picks, where they lie.
     """
     near = candidates if depth is None else candidates.filter(F.col("rank") <= depth)
-    page = near.select("query_id", "id", "distance", "vector")
-
-    def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["distance", "id"]).reset_index(drop=True)
-        points = np.stack(rows["vector"].to_numpy()).astype(np.float64)
-        lengths = np.linalg.norm(points, axis=1, keepdims=True)
-        points = np.divide(points, lengths, out=np.zeros_like(points), where=lengths > 0)
-        relevance = 1.0 - rows["distance"].to_numpy()
-        closest = np.zeros(len(rows))
-        left = np.ones(len(rows), dtype=bool)
-        order = []
-        for _ in range(min(k, len(rows))):
-            gain = np.where(left, balance * relevance - (1.0 - balance) * closest, -np.inf)
-            pick = int(np.argmax(np.round(gain, DIGITS)))
-            order.append(pick)
-            left[pick] = False
-            similar = points @ points[pick]
-            closest = similar if len(order) == 1 else np.maximum(closest, similar)
-        out = rows.loc[order, ["query_id", "id", "distance"]].copy()
-        out["rank"] = range(1, len(out) + 1)
-        return out
-
-    return page.groupBy("query_id").applyInPandas(choose, "query_id string, id string, distance double, rank int")
+    state = stored(
+        near.select("query_id", "id", "distance", "vector", F.lit(None).cast("double").alias("closest"), F.lit(0).alias("done")), "candidates"
+    )
+    gain = F.lit(balance) * (1 - F.col("distance")) - F.lit(1.0 - balance) * F.coalesce("closest", F.lit(0.0))
+    vector = state.schema["vector"].dataType.simpleString()
+    shape = f"query_id string, id string, distance double, vector {vector}, rank int"
+    picked = None
+    while True:
+        order = [F.desc("gain"), F.col("distance").asc(), F.col("id").asc()]
+        best = top_n(state.withColumn("gain", F.round(gain, DIGITS)), ["query_id"], order, working + 1, "place")
+        new = stored(best.groupBy("query_id").applyInPandas(lambda rows: _choose(rows, k, balance, working), shape), "picks")
+        picked = new if picked is None else picked.unionByName(new)
+        made = new.groupBy("query_id").agg(F.max("rank").alias("made"), F.collect_list("vector").alias("picks")).filter(F.col("made") < k)
+        made, _ = broadcast_checked(made, size=F.lit(8 * k) * F.size(F.col("picks")[0]))
+        rest = state.join(new.select("query_id", "id"), ["query_id", "id"], "left_anti").join(made, "query_id")
+        nearest = F.array_max(F.transform("picks", lambda p: _cosine(p, F.col("vector"))))
+        state = stored(
+            rest.select("query_id", "id", "distance", "vector", F.greatest("closest", nearest).alias("closest"), F.col("made").alias("done")), "candidates"
+        )
+        if state.isEmpty():
+            return picked.drop("vector")

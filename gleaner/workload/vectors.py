@@ -118,7 +118,25 @@ def _candidates(spark, sf):
     return near.join(docs.select("id", "vector"), "id")
 
 
-@query("mmr")
+def _diverse(k, balance):
+    """Greedy choice step by step: each step joins what is left with the similarities to what was picked."""
+    sim = "list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v))"
+    return f"""WITH RECURSIVE near AS ({_nearest(MMR_CANDIDATES)}),
+    c AS MATERIALIZED (SELECT n.query_id, n.id, round({_COS}, 9) AS d, b.v FROM near n JOIN {_CENTRES} a USING (query_id) JOIN {_DOCS} b ON b.id = n.id),
+    s AS MATERIALIZED (SELECT a.query_id, a.id, b.id AS other, {sim} AS sim FROM c a JOIN c b ON a.query_id = b.query_id AND a.id <> b.id),
+    g AS (
+      SELECT DISTINCT query_id, 0 AS n, []::VARCHAR[] AS picks FROM c
+      UNION ALL
+      SELECT query_id, n + 1, list_append(picks, arg_min(id, (-gain, d, id))) FROM (
+        SELECT query_id, n, picks, id, d, round({balance} * (1 - d) - {1 - balance} * coalesce(closest, 0), 9) AS gain FROM (
+        SELECT g.query_id, g.n, g.picks, c.id, c.d, max(s.sim) AS closest FROM g JOIN c ON c.query_id = g.query_id AND NOT list_contains(g.picks, c.id)
+        LEFT JOIN s ON s.query_id = g.query_id AND s.id = c.id AND list_contains(g.picks, s.other)
+        WHERE g.n < {k} GROUP BY g.query_id, g.n, g.picks, c.id, c.d)) GROUP BY query_id, n, picks)
+    SELECT query_id, id, {sql_rounded('d')} + 0.0 AS distance, CAST(list_position(picks, id) AS INTEGER) AS rank
+    FROM g JOIN c USING (query_id) WHERE n = {k} AND list_contains(picks, id)"""
+
+
+@query("mmr", _diverse(10, 0.5))
 def mmr(spark, sf):
     return _shown(nn.diversify(_candidates(spark, sf), 10))
 

@@ -138,8 +138,9 @@ def test_diversified_order_against_brute_force(spark, balance):
     listed = sorted(near.collect(), key=lambda r: (r["distance"], r["id"]))
     order = [int(r["id"][1:]) for r in listed]
     expected = greedy(points.astype(np.float32).astype(float)[order], [r["distance"] for r in listed], 10, balance)
-    got = [r["id"] for r in knn.diversify(rows, 10, balance).orderBy("rank").collect()]
-    assert got == [listed[i]["id"] for i in expected]
+    for working in (1024, 6, 1):
+        got = [r["id"] for r in knn.diversify(rows, 10, balance, working=working).orderBy("rank").collect()]
+        assert got == [listed[i]["id"] for i in expected]
 
 
 def test_diversified_lists_are_as_long_as_asked_for(spark):
