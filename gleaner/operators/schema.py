@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from gleaner.functions.coerce import SPARK_TYPES
 from pyspark.sql import types as T
 
 from gleaner.session import local_table
@@ -273,6 +275,23 @@ def apply_diff(docs: DataFrame, changes: list[tuple[str, str, str | None]], meta
     return docs.withColumns(added).drop(*dropped) if added else docs.drop(*dropped)
 
 
+def apply_changes(docs: DataFrame, changes: DataFrame, metadata: bool = False) -> DataFrame:
+    """Documents after the changes that ``diff`` has found: (name, change, live_type, new_type).
+
+    The rows are fields of one schema, so they come to the driver, which adds
+    and drops columns; added ones have the Spark type of their declared type.
+    """
+    kinds = {name: kind.simpleString() for name, kind in SPARK_TYPES.items()}
+
+    def kind_of(declared: str | None) -> str | None:
+        if declared and declared.endswith("[]"):
+            return f"array<{kinds.get(declared[:-2], 'string')}>"
+        return kinds.get(declared, "string") if declared else None
+
+    rows = changes.select("name", "change", "new_type").orderBy("name").collect()
+    return apply_diff(docs, [(r["name"], r["change"], kind_of(r["new_type"])) for r in rows], metadata)
+
+
 def profile(parts: list[tuple[str, DataFrame]]) -> DataFrame:
     """Document count per collection, in one job over all collections."""
     counted = [

@@ -150,7 +150,28 @@ def schema_diff(spark, sf):
 
 @query("schema_apply", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CAST(NULL AS VARCHAR) AS o_comment FROM orders")
 def schema_apply(spark, sf):
-    return s.apply_diff(table(spark, sf, "orders"), [("o_comment", "add", "string"), ("o_orderpriority", "drop", None)])
+    """The differences of two declarations, applied as they were found."""
+    live, new = _changed(spark, sf)
+    kept = Collection("orders", tuple(f for f in live.fields if f.name == "o_totalprice") + tuple(f for f in new.fields if f.name != "o_totalprice"))
+    changes = s.diff(s.field_table(spark, [kept]), s.field_table(spark, [live]))
+    return s.apply_changes(table(spark, sf, "orders"), changes)
+
+
+_MORE = {"string": "o_note", "int64": "o_rank", "float": "o_share", "bool": "o_done", "string[]": "o_tags"}
+
+
+@query(
+    "schema_apply_types",
+    """SELECT o_orderkey, o_custkey, CAST(NULL AS VARCHAR) AS o_note, CAST(NULL AS BIGINT) AS o_rank, CAST(NULL AS DOUBLE) AS o_share,
+    CAST(NULL AS BOOLEAN) AS o_done, CAST(NULL AS VARCHAR[]) AS o_tags FROM orders""",
+)
+def schema_apply_types(spark, sf):
+    """A declaration with a field of every kind more and most fields less."""
+    live = s.declared("orders", table(spark, sf, "orders"), "o_orderkey")
+    kept = tuple(f for f in live.fields if f.name == "o_custkey")
+    more = tuple(Field(name, kind, optional=True) for kind, name in _MORE.items())
+    changes = s.diff(s.field_table(spark, [Collection("orders", kept + more)]), s.field_table(spark, [live]))
+    return s.apply_changes(table(spark, sf, "orders"), changes)
 
 
 # --- import, delete, look up ----------------------------------------------------

@@ -290,6 +290,31 @@ def highlight(spark, sf):
     return marked.select("query_id", "id", marks.highlight(F.col("p_name"), F.col("marks")).alias("highlight"))
 
 
+_INEXACT = dict(prefix=True, num_typos=2)
+
+
+@query(
+    "highlight_inexact",
+    f"WITH {oracle.search_ctes(PRODUCTS, ['p_name'], MISSPELT, prefix=['p_name'], num_typos=2)}, "
+    f"best AS ({oracle.top('score DESC, weight DESC', 10, 'score')}), "
+    f"words AS (SELECT query_id, list(DISTINCT token) AS marks FROM hits_cand WHERE field = 'p_name' GROUP BY query_id) "
+    f"SELECT b.query_id, b.id, b.rank, {_sql_marked('d.p_name')} AS highlight FROM best b JOIN {PRODUCTS} d USING (id) JOIN words USING (query_id)",
+)
+def highlight_inexact(spark, sf):
+    """Whole fields of a page with every hit marked: as typed, as a prefix, or misspelt."""
+    from gleaner.operators.match import candidates, tokenize_queries
+    from gleaner.operators.postings import vocabulary
+
+    queries = requests(spark, MISSPELT)
+    how = Match(("p_name",), **(EXACT_ONLY | _INEXACT))
+    listed = postings(products(spark, sf), ["p_name"])
+    words = vocabulary(listed)
+    page = rank.page(search(listed, queries, how, words), rank.default_order())
+    texts = rank.attach(page, products(spark, sf).select("id", "p_name"))
+    marked = marks.matched_tokens(texts, candidates(tokenize_queries(queries), words, how).filter("field = 'p_name'"))
+    return marked.select("query_id", "id", "rank", marks.highlight(F.col("p_name"), F.col("marks")).alias("highlight"))
+
+
 @query("highlight_full", _shown(f"SELECT query_id, id, rank, {_sql_marked('text')} AS highlight FROM shown"))
 def highlight_full(spark, sf):
     page = _page_with_marks(spark, sf)

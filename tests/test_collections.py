@@ -330,3 +330,17 @@ def test_resources_are_loaded_in_order_and_empty_kinds_skipped(spark):
     rule = tables["analytics_rules"].first()
     assert (rule["name"], rule["limit"]) == ("popular", 1000)
     assert tables["nl_search_models"].first()["id"] == "own" and tables["conversation_models"].first()["id"] == "bot"
+
+
+def test_changes_of_a_diff_are_applied_or_refused(spark):
+    from gleaner.operators import schema as fields
+
+    docs = spark.createDataFrame([("1", 5, "x")], "id string, n long, old string")
+    table = lambda rows: spark.createDataFrame(rows, "name string, type string")
+    live = table([("id", "string"), ("n", "int64"), ("old", "string")])
+    changed = fields.apply_changes(docs, fields.diff(table([("n", "int64"), ("tags", "string[]"), ("ok", "bool")]), live))
+    assert dict(changed.dtypes) == {"id": "string", "n": "bigint", "tags": "array<string>", "ok": "boolean"}
+    assert tuple(changed.select("id", "n", "ok", "tags").first()) == ("1", 5, None, None)
+    assert fields.apply_changes(docs, fields.diff(live, live)).columns == docs.columns
+    with pytest.raises(ValueError):
+        fields.apply_changes(docs, fields.diff(table([("n", "float")]), live))

@@ -278,6 +278,16 @@ def test_answers_and_transcript(spark):
     assert rows == [(1, 0, "user", "hi"), (1, 1, "user", "what?"), (1, 2, "assistant", "first"), (9, 0, "user", "new?"), (9, 1, "assistant", "")]
 
 
+def test_answers_know_the_history(spark):
+    asked = local_table(
+        spark, [("q", 1, "and?", ["a", "b"]), ("r", 2, "new?", []), ("s", 3, "odd?", None)],
+        "query_id string, conversation_id long, q string, history array<string>",
+    )
+    found = local_table(spark, [("q", ["d1"], ["first"]), ("r", ["d1"], ["first"])], "query_id string, source_ids array<string>, context array<string>")
+    got = {r["query_id"]: r["answer"] for r in conversation.answer(asked, found, "follow-up").collect()}
+    assert got == {"q": "b | first", "r": "first", "s": ""}
+
+
 def test_requests_in_plain_words(spark):
     translate.TRANSLATORS["t"] = translate.rule_translator({"price": "price"}, {"red": "color"})
     docs = local_table(spark, [("1", 5.0, "red"), ("2", 50.0, "red"), ("3", 1.0, "blue")], "id string, price double, color string")
