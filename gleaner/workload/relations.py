@@ -10,6 +10,7 @@ from gleaner.operators import curation, rank, union
 from gleaner.operators.match import EXACT_ONLY, Match, search
 from gleaner.operators.postings import postings
 from gleaner.operators.relations import cascade, check_references, join_reference, unresolved
+from gleaner.plans import requests as each
 from gleaner.session import local_table, table
 from gleaner.sources import resources
 from gleaner.workload import oracle
@@ -293,3 +294,36 @@ _ALLOWED = f"doc_id IN (SELECT id FROM {PRODUCTS} WHERE p_size > 25)"
 @query("curation_filtered", _placed(_active("include", _ALLOWED), hidden=_active("exclude")))
 def curation_filtered(spark, sf):
     return _curated(spark, sf, allowed=products(spark, sf).filter(gt("p_size", 25)))
+
+
+# --- every request with its own filter, order and page -----------------------------
+
+EACH = [("r1", "red ring", 1, 5), ("r2", "small", 2, 10), ("r3", "*", 1, 7), ("r4", "*", 3, 4), ("r5", "large plate", None, None), ("r6", "*", 1, 3), ("r7", "*", 2, 6)]
+EACH_CONDITIONS = [
+    ("r1", "p_size", None, 10.0, 40.0), ("r2", "p_type", "SMALL", None, None), ("r2", "p_retailprice", None, None, 950.0),
+    ("r3", "p_type", "PROMO", None, None), ("r3", "p_size", None, 45.0, None), ("r4", "p_retailprice", None, 905.0, 915.5), ("r7", "p_size", None, None, 3.0),
+]
+EACH_ORDERS = [("r1", 0, "p_retailprice", True), ("r2", 0, "p_size", False), ("r2", 1, "p_retailprice", True), ("r3", 0, "p_size", True), ("r4", 0, "p_retailprice", False), ("r5", 0, "score", True)]
+
+
+@query(
+    "multi_search_each",
+    f"""WITH {oracle.search_ctes(PRODUCTS, ["p_name", "p_type"], [(q, t) for q, t, *_ in EACH if t != "*"])},
+    found AS (SELECT query_id, id, score, weight FROM hits UNION ALL
+      SELECT query_id, id, 0, 0 FROM (VALUES ('r3'), ('r4'), ('r6'), ('r7')) v(query_id), {PRODUCTS} d),
+    kept AS (SELECT f.*, p_size, p_retailprice FROM found f JOIN {PRODUCTS} d USING (id) WHERE CASE query_id WHEN 'r1' THEN p_size BETWEEN 10 AND 40
+      WHEN 'r2' THEN p_type = 'SMALL' AND p_retailprice <= 950 WHEN 'r3' THEN p_type = 'PROMO' AND p_size >= 45
+      WHEN 'r4' THEN p_retailprice BETWEEN 905 AND 915.5 WHEN 'r7' THEN p_size <= 3 ELSE true END),
+    keyed AS (SELECT *, CASE query_id WHEN 'r1' THEN -p_retailprice WHEN 'r2' THEN p_size WHEN 'r3' THEN -p_size WHEN 'r4' THEN p_retailprice WHEN 'r5' THEN -score ELSE 0 END AS k1,
+      CASE query_id WHEN 'r2' THEN -p_retailprice ELSE 0 END AS k2 FROM kept),
+    ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY k1, k2, score DESC, weight DESC, id) AS INTEGER) AS rank FROM keyed)
+    SELECT query_id, id, CAST(score AS BIGINT) AS score, CAST(weight AS INTEGER) AS weight, rank FROM ranked JOIN
+    (VALUES ('r1', 0, 5), ('r2', 10, 20), ('r3', 0, 7), ('r4', 8, 12), ('r5', 0, 10), ('r6', 0, 3), ('r7', 6, 12)) p(query_id, first, last) USING (query_id) WHERE rank > first AND rank <= last""",
+)
+def multi_search_each(spark, sf):
+    """A batch in which every search has a filter, an order and a page of its own."""
+    return each.run_each(
+        products(spark, sf), local_table(spark, EACH, each.REQUEST), Match(("p_name", "p_type"), **EXACT_ONLY),
+        each.Columns(("p_type",), ("p_size", "p_retailprice")),
+        local_table(spark, EACH_CONDITIONS, each.CONDITION), local_table(spark, EACH_ORDERS, each.ORDER),
+    )
