@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.skew import broadcast_checked, top_by
+from gleaner.operators.curation import rule_key
 from gleaner.operators.levels import match_documents
 from gleaner.operators.match import Match
 from gleaner.operators.rank import PER_PAGE
@@ -24,6 +25,8 @@ RANGES = 256
 REQUEST = "query_id string, q string, page int, per_page int"
 CONDITION = "query_id string, field string, value string, low double, high double"
 ORDER = "query_id string, place int, field string, descending boolean"
+RULE_CONDITION = CONDITION.replace("query_id", "query")
+RULE_ORDER = ORDER.replace("query_id", "query")
 
 
 @dataclass(frozen=True)
@@ -109,6 +112,25 @@ def _by_conditions(facts: DataFrame, wanted: DataFrame, columns: Columns) -> Dat
     return listed.join(keys, "key").select("query_id", "id")
 
 
+def with_rules(
+    requests: DataFrame, conditions: DataFrame, orders: DataFrame, rule_conditions: DataFrame, rule_orders: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Conditions and orders of the requests after curation rules have added theirs.
+
+    Rules have ``query`` in place of query_id, and apply to requests that say
+    the same words. Conditions of a rule hold besides those of the request; an
+    order of a rule takes the place of the request's.
+    """
+    said = requests.select("query_id", rule_key(F.col("q")).alias("_key")).filter("_key <> ''")
+
+    def applied(rules: DataFrame) -> DataFrame:
+        return said.join(rules.withColumn("_key", rule_key(F.col("query"))), "_key").drop("_key", "query")
+
+    sorts = applied(rule_orders)
+    kept = orders.join(sorts.select("query_id").distinct(), "query_id", "left_anti")
+    return conditions.unionByName(applied(rule_conditions)), kept.unionByName(sorts)
+
+
 def run_each(
     docs: DataFrame, requests: DataFrame, how: Match, columns: Columns, conditions: DataFrame, orders: DataFrame
 ) -> DataFrame:

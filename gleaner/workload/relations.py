@@ -327,3 +327,30 @@ def multi_search_each(spark, sf):
         each.Columns(("p_type",), ("p_size", "p_retailprice")),
         local_table(spark, EACH_CONDITIONS, each.CONDITION), local_table(spark, EACH_ORDERS, each.ORDER),
     )
+
+
+RULE_CONDITIONS = [("Red ring!", "p_type", "PROMO", None, None), ("large PLATE", "p_retailprice", None, None, 960.0), ("other", "p_size", None, 50.0, None)]
+RULE_ORDERS = [("red RING", 0, "p_size", True), ("large plate", 0, "p_retailprice", False), ("other", 0, "p_size", True)]
+RULED = [("r1", "red ring", 1, 10), ("r2", "small", 1, 10), ("r5", "large plate", 2, 5)]
+
+
+@query(
+    "curated_each",
+    f"""WITH {oracle.search_ctes(PRODUCTS, ["p_name", "p_type"], [(q, t) for q, t, *_ in RULED])},
+    kept AS (SELECT f.*, p_size, p_retailprice FROM hits f JOIN {PRODUCTS} d USING (id) WHERE CASE query_id WHEN 'r1' THEN p_size BETWEEN 10 AND 40 AND p_type = 'PROMO'
+      WHEN 'r2' THEN p_type = 'SMALL' AND p_retailprice <= 950 ELSE p_retailprice <= 960 END),
+    keyed AS (SELECT *, CASE query_id WHEN 'r1' THEN -p_size WHEN 'r2' THEN p_size ELSE p_retailprice END AS k1, CASE query_id WHEN 'r2' THEN -p_retailprice ELSE 0 END AS k2 FROM kept),
+    ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY k1, k2, score DESC, weight DESC, id) AS INTEGER) AS rank FROM keyed)
+    SELECT query_id, id, CAST(score AS BIGINT) AS score, CAST(weight AS INTEGER) AS weight, rank FROM ranked
+    WHERE CASE query_id WHEN 'r5' THEN rank BETWEEN 6 AND 10 ELSE rank <= 10 END""",
+)
+def curated_each(spark, sf):
+    """Curation rules that add a filter and set the order of the searches they apply to."""
+    asked = local_table(spark, RULED, each.REQUEST)
+    conditions, orders = each.with_rules(
+        asked, local_table(spark, [c for c in EACH_CONDITIONS if c[0] in ("r1", "r2")], each.CONDITION),
+        local_table(spark, [o for o in EACH_ORDERS if o[0] in ("r1", "r2", "r5")], each.ORDER),
+        local_table(spark, RULE_CONDITIONS, each.RULE_CONDITION), local_table(spark, RULE_ORDERS, each.RULE_ORDER),
+    )
+    columns = each.Columns(("p_type",), ("p_size", "p_retailprice"))
+    return each.run_each(products(spark, sf), asked, Match(("p_name", "p_type"), **EXACT_ONLY), columns, conditions, orders)
