@@ -32,6 +32,8 @@ from gleaner.session import stored
 # Document frequency opened by the first round, and the factor between rounds.
 FIRST_FREQUENCY = 1024
 STEP = 32
+# Pairs of all records together that are made in one round: rounds save pairs, and so few are not worth a second job.
+ALL_AT_ONCE = 1 << 20
 # Tokens of a group of documents, and pairs that meet one group in one task.
 GROUP_TOKENS = 1 << 20
 GROUP_PAIRS = 1 << 18
@@ -213,8 +215,8 @@ def search_levels(docs: DataFrame, queries: DataFrame, how: Match) -> DataFrame:
 
 def _opened(records: DataFrame, verified, threshold: int) -> DataFrame:
     """Hits of all levels that are admitted."""
-    most = records.agg(F.max("df")).first()[0] or 0
-    found, limit, below = [], FIRST_FREQUENCY, 0
+    most, every = records.agg(F.coalesce(F.max("df"), F.lit(0)), F.coalesce(F.sum("df"), F.lit(0))).first()
+    found, limit, below = [], (max(most, 1) if every <= ALL_AT_ONCE else FIRST_FREQUENCY), 0
     while below < most:
         opened = records.filter((F.col("df") > below) & (F.col("df") <= limit))
         if found:

@@ -36,6 +36,7 @@ def rows(spark):
 @pytest.mark.parametrize("first,group", [(1024, 1 << 20), (2, 64)])
 def test_levels_give_the_hits_of_the_postings(spark, monkeypatch, options, first, group):
     monkeypatch.setattr(levels, "FIRST_FREQUENCY", first)
+    monkeypatch.setattr(levels, "ALL_AT_ONCE", 0 if first == 2 else 1 << 20)
     monkeypatch.setattr(levels, "STEP", 3 if first == 2 else 32)
     monkeypatch.setattr(levels, "GROUP_TOKENS", group)
     monkeypatch.setattr(levels, "GROUP_PAIRS", 1 << 18 if group > 64 else 50)
