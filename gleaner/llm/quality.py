@@ -2,11 +2,14 @@
 
 Two histograms of a document, of character classes and of common words, are
 compared with the mean histograms of its language by Jensen-Shannon distance.
-Short documents are not compared: their histograms say little.
+Short documents are not compared: their histograms say little. How far common
+words may be off follows from the reference, by the distance that a text
+without any of them has, and from the length, by its sampling noise.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -30,14 +33,23 @@ CLASSES = ["ascii_letters", "other_letters", "digits", "blanks", "symbols", "pun
 
 @dataclass(frozen=True)
 class Rules:
-    """Bounds of the rules; distances lie between 0 and 1."""
+    """Bounds of the rules; distances lie between 0 and 1.
+
+    The word histogram of a text may be off by ``most_word_share`` of the
+    distance that a text without common words has, and by chance: the squared
+    distance of n words drawn from the reference is about ``word_noise`` / n,
+    which is classes / (8 ln 2). A language in which common words make up less
+    than ``least_common`` of the mean text says nothing by them.
+    """
 
     least_words: int = 50
     most_repeated: int = 50  # percent of words in repeated 3-word windows
     least_chars_compared: int = 400
     least_words_compared: int = 100
     most_class_distance: float = 0.30
-    most_word_distance: float = 0.40
+    most_word_share: float = 0.75
+    word_noise: float = len(COMMON_WORDS["en"]) / (8 * math.log(2))
+    least_common: float = 0.05
 
 
 def _no_hashes() -> Column:
@@ -163,13 +175,21 @@ def distance(shares: Column, reference: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda a, b: a + b)))
 
 
+def _word_bound(rules: Rules) -> Column:
+    """The largest distance of a word histogram from ``ref_words`` that a text of ``n_words`` may have."""
+    wordless = F.array(*[F.lit(0.0)] * len(WORDS), F.lit(1.0))
+    systematic = rules.most_word_share * distance(wordless, F.col("ref_words"))
+    return F.sqrt(systematic * systematic + F.lit(rules.word_noise) / F.col("n_words"))
+
+
 def judge(docs: DataFrame, rules: Rules = Rules(), references: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
-    """The verdict on every row: key, base counts, base_failed, kept, class_distance, word_distance.
+    """The verdict on every row: key, base counts, base_failed, kept, class_distance, word_distance, word_bound.
 
     A document is rejected if it fails the base rules or lies too far from its
     language in either histogram. A distance is null, and not held against the
     document, below the minimum lengths and for a language (null is one)
-    without a reference. Null texts are empty and fail; repeated rows are judged
+    without a reference; that of words also for a language whose documents
+    hardly have common words. Null texts are empty and fail; repeated rows are judged
     alike; rows of an empty table are none. References are learnt from all given
     documents unless given. The counts are written to the shared folder once,
     as they are used twice.
@@ -182,14 +202,17 @@ def judge(docs: DataFrame, rules: Rules = Rules(), references: DataFrame | None
         "class_distance", far(_chars() >= rules.least_chars_compared, _shares(F.col("classes"), _chars()), "ref_classes")
     ).withColumn(
         "word_distance",
-        far(F.col("n_words") >= rules.least_words_compared, _shares(_word_counts(), F.col("n_words")), "ref_words"),
-    )
+        far(
+            (F.col("n_words") >= rules.least_words_compared) & (F.col("ref_words")[len(WORDS)] <= 1 - rules.least_common),
+            _shares(_word_counts(), F.col("n_words")), "ref_words",
+        ),
+    ).withColumn("word_bound", F.when(F.col("word_distance").isNotNull(), _word_bound(rules)))
     near = (F.coalesce("class_distance", F.lit(0.0)) <= rules.most_class_distance) & (
-        F.coalesce("word_distance", F.lit(0.0)) <= rules.most_word_distance
+        F.col("word_distance").isNull() | (F.col("word_distance") <= F.col("word_bound"))
     )
     return judged.withColumn("base_failed", _base_failed(rules)).select(
         F.col("doc_id").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & near).alias("kept"), "class_distance", "word_distance",
+        (~F.col("base_failed") & near).alias("kept"), "class_distance", "word_distance", "word_bound",
     )
 
 
@@ -234,12 +257,13 @@ r AS (
   SELECT lang, {means("c", len(CLASSES))} AS rc, {means("v", len(WORDS) + 1)} AS rw FROM s
   WHERE NOT base_failed AND chars >= {rules.least_chars_compared} AND n_words >= {rules.least_words_compared} GROUP BY lang),
 j AS (
-  SELECT s.*, CASE WHEN chars >= {rules.least_chars_compared} AND rc IS NOT NULL THEN {js("c", "rc")} END AS class_distance,
-         CASE WHEN n_words >= {rules.least_words_compared} AND rw IS NOT NULL THEN {js("v", "rw")} END AS word_distance
+  SELECT s.*, sqrt(({rules.most_word_share} * {js("[" + "0.0, " * len(WORDS) + "1.0]", "rw")}) ** 2 + {rules.word_noise!r} / n_words) AS word_bound,
+         CASE WHEN chars >= {rules.least_chars_compared} AND rc IS NOT NULL THEN {js("c", "rc")} END AS class_distance,
+         CASE WHEN n_words >= {rules.least_words_compared} AND rw[{len(WORDS) + 1}] <= {1 - rules.least_common} THEN {js("v", "rw")} END AS word_distance
   FROM s LEFT JOIN r ON s.lang IS NOT DISTINCT FROM r.lang)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
        NOT base_failed AND coalesce(class_distance, 0) <= {rules.most_class_distance}
-         AND coalesce(word_distance, 0) <= {rules.most_word_distance} AS kept
+         AND (word_distance IS NULL OR word_distance <= word_bound) AS kept
 FROM j
 """

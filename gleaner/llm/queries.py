@@ -50,7 +50,7 @@ def op4_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op5_quality_divergence", quality.judge_sql())
 def op5_quality_divergence(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.judge(table(spark, sf, "documents")).drop("class_distance", "word_distance")
+    return quality.judge(table(spark, sf, "documents")).drop("class_distance", "word_distance", "word_bound")
 
 
 @query("op6_bloom_lm")

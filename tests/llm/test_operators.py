@@ -206,6 +206,27 @@ def test_quality_counts_and_verdicts(docs, odd_rows):
     assert quality.judge(docs([])).count() == 0
 
 
+def test_texts_of_another_language_or_without_common_words_are_rejected(docs):
+    rng = random.Random(5)
+
+    def said(lang, n, share=0.35):
+        return " ".join(rng.choice(quality.COMMON_WORDS[lang]) if rng.random() < share else f"dog{rng.randrange(10**6)}" for _ in range(n))
+
+    langs, lengths = sorted(quality.COMMON_WORDS), (100, 150, 400, 2000)
+    clean = [(i, said(langs[i % 4], lengths[i // 4 % 4]), "a", langs[i % 4]) for i in range(320)]
+    wordless = [(1000 + 4 * k + i, said(lang, n, 0.0), "a", lang) for i, lang in enumerate(langs) for k, n in enumerate(lengths)]
+    foreign = [(2000 + 4 * k + i, said(langs[i - 1], n), "a", lang) for i, lang in enumerate(langs) for k, n in enumerate(lengths)]
+    # Judged by words alone: too short, a language without common words, one without a reference.
+    unjudged = [(3000, said("en", 60, 0.0), "a", "en")] + [(3001 + i, said("en", 200, 0.0), "a", "xx") for i in range(9)]
+    unjudged += [(3020, said("en", 200), "a", "xx"), (3021, said("fr", 90), "a", None)]
+    verdict = {r["doc_id"]: r for r in quality.judge(docs(clean + wordless + foreign + unjudged)).collect()}
+    assert not any(r["base_failed"] for r in verdict.values())
+    assert all(verdict[r[0]]["kept"] for r in clean)
+    assert not any(verdict[r[0]]["kept"] for r in wordless + foreign)
+    assert all(verdict[r[0]]["word_distance"] > verdict[r[0]]["word_bound"] for r in wordless + foreign)
+    assert all(verdict[r[0]]["kept"] and verdict[r[0]]["word_distance"] is None for r in unjudged)
+
+
 # 6: language model
 
 
