@@ -148,7 +148,10 @@ def assign_cells(docs: DataFrame, model, metric: str = "cosine") -> DataFrame:
 
 def probe_cells(queries: DataFrame, model, probes: int, metric: str = "cosine") -> DataFrame:
     """(query_id, query_vector, cell) for the cells whose centres are nearest to each query."""
-    centres = np.asarray(model.clusterCenters())
+    return probe_centres(queries, np.asarray(model.clusterCenters()), probes, metric)
+
+
+def probe_centres(queries: DataFrame, centres: np.ndarray, probes: int, metric: str = "cosine") -> DataFrame:
     probes = min(probes, len(centres))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

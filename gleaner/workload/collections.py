@@ -202,6 +202,24 @@ def import_upsert(spark, sf):
     return merge_upserts(live, incoming)
 
 
+@query(
+    "merge_on_read",
+    f"""WITH incoming AS ({_PRICED}), live AS (SELECT id, p_name, p_retailprice AS price FROM {PRODUCTS})
+    SELECT l.id, CASE WHEN i.id IS NOT NULL THEN 'sold' ELSE l.p_name END AS p_name, coalesce(i.price, l.price) AS price
+    FROM live l LEFT JOIN incoming i USING (id) WHERE l.id NOT IN (SELECT id FROM incoming WHERE price < 60000)""",
+)
+def merge_on_read(spark, sf):
+    """A collection read with three batches of changes beside its version: stale prices, prices, deletions; folded once."""
+    store = Store(spark, work_path(spark, "merged"))
+    store.publish("products", "products_v1", products(spark, sf).select("id", "p_name", F.col("p_retailprice").alias("price")))
+    new = priced(spark, sf).select("id", F.lit("sold").alias("p_name"), "price", F.col("seq").cast("long").alias("seq"))
+    store.append("products", upserts(new.withColumn("price", F.col("price") - 1), F.col("seq")))
+    store.append("products", upserts(new, F.col("seq") + 1))
+    store.fold("products")
+    store.append("products", tombstones(new.filter("price < 60000"), F.col("seq") + 2))
+    return store.read("products")
+
+
 @query(
     "import_report",
     f"""SELECT id, CASE WHEN text IS NULL THEN 'field ''text'' is required' WHEN lang IS NULL THEN 'field ''lang'' is required'

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.vectors import distance
 from gleaner.operators import knn as nn
+from gleaner.operators.cells import build_cells, search_cells
 from gleaner.operators.embed import auto_embed
 from gleaner.operators.fusion import fused_page
-from gleaner.session import local_table, table
+from gleaner.session import local_table, table, work_path
+from gleaner.sources.store import Store
 from gleaner.workload import oracle
 from gleaner.workload.base import DOCUMENTS, documents, query, rounded, sql_rounded, vectors
 from gleaner.workload.text import document_hits
@@ -92,6 +94,22 @@ def knn_ann(spark, sf):
     return _shown(found)
 
 
+# Cells, and cells probed: vectors without structure need most of them.
+CELLS, PROBED = 16, 14
+
+
+@query("stored_cells", "SELECT 'label' || CAST(label AS VARCHAR) AS query_id, 20 AS hits, true AS found FROM embeddings GROUP BY label")
+def stored_cells(spark, sf):
+    """Neighbours from stored cells against exact ones: whether each query has at least 0.9 of them."""
+    store = Store(spark, work_path(spark, "cells"))
+    wanted = centres(spark, sf)
+    build_cells(store, "documents", vectors(spark, sf), "v1", CELLS)
+    near = search_cells(store, "documents", wanted, 20, PROBED).select("query_id", "id", F.lit(1).alias("hit"))
+    exact = nn.knn(vectors(spark, sf), wanted, 20).select("query_id", "id")
+    both = exact.join(near, ["query_id", "id"], "left").groupBy("query_id")
+    return both.agg(F.count(F.lit(1)).cast("int").alias("hits"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("found"))
+
+
 _TEXTS = [("label0", "the of"), ("label3", "der und"), ("label7", "is that")]
 
 

@@ -277,6 +277,25 @@ def test_upsert_delete_lookup_compact(spark, store):
     assert {tuple(r) for r in store.read("c").collect()} == {("2", "y"), ("3", "z")}
 
 
+def test_changes_are_merged_when_read_and_the_version_is_not_shuffled(spark, store):
+    shape = "id string, v string, op string, seq long"
+    store.publish("c", "c_v1", local_table(spark, [(str(i), "old") for i in range(6)], "id string, v string"))
+    assert store.append("c", local_table(spark, [("1", "x", "upsert", 5), ("1", "y", "upsert", 6), ("2", None, "delete", 1), ("7", "new", "upsert", 1)], shape)) == 1
+    assert store.append("c", local_table(spark, [("2", "back", "upsert", 2), ("7", None, "delete", 9), ("1", "late", "upsert", 4), ("3", "z", "upsert", 3)], shape)) == 2
+    expected = {("0", "old"), ("1", "y"), ("2", "back"), ("3", "z"), ("4", "old"), ("5", "old")}
+    read = lambda: sorted(tuple(r) for r in store.read("c").select("id", "v").collect())
+    assert read() == sorted(expected)
+    assert store.fold("c") == 2 and read() == sorted(expected)
+    assert store.append("c", local_table(spark, [("7", None, "delete", 1), ("4", None, "delete", 9)], shape)) == 2
+    assert read() == sorted(expected - {("4", "old")})
+    plan = store.read("c")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
+    store.publish("c", "c_v2", store.read("c"))
+    assert read() == sorted(expected - {("4", "old")}) and store._changes("c_v2") == (0, [])
+    with pytest.raises(LookupError):
+        store.append("none", local_table(spark, [], shape))
+
+
 def test_reindex_counts_and_never_empties_a_collection(spark, store):
     shop = Collection("products", (Field("name", "string"), Field("vector", "float[]", num_dim=2, optional=True)))
     ddl = "id long, name string, vector array<float>"
