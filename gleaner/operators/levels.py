@@ -11,7 +11,8 @@ and a query makes at most some 32 times the pairs it needs.
 
 Pairs meet the texts by groups of documents: the tokens of a group are sorted
 once and every token of every pair is one binary search, whatever the length
-of the text.
+of the text. Pairs of many queries would be too many to move: beyond
+``FEW_QUERIES`` blocks of documents meet blocks of queries (``blocks.py``).
 """
 
 from __future__ import annotations
@@ -25,10 +26,13 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.skew import BROADCAST_ROWS, broadcast_checked
 from gleaner.functions.text import tokens
+from gleaner.operators.blocks import match_blocks
 from gleaner.operators.match import Match, document_scores, search
 from gleaner.operators.postings import postings
 from gleaner.session import stored
 
+# Queries whose pairs are moved to the texts; more of them meet blocks.
+FEW_QUERIES = 1024
 # Document frequency opened by the first round, and the factor between rounds.
 FIRST_FREQUENCY = 1024
 STEP = 32
@@ -43,16 +47,24 @@ HIT = ["query_id", "id", "score", "weight", "matched_fields", "typo_cost", "drop
 
 
 def match_documents(
-    docs: DataFrame, fields: list[str], queries: DataFrame, how: Match, words: DataFrame | None = None
+    docs: DataFrame, fields: list[str], queries: DataFrame, how: Match, words: DataFrame | None = None, best: int | None = None
 ) -> DataFrame:
     """All hits of all queries in documents (id and the fields), as ``search`` gives them.
 
     Options under which a token stands for itself alone go level by level;
-    the others need the postings of every alternative.
+    the others need the postings of every alternative. Who takes only the first
+    ``best`` hits of a query in the default order says so; then others may be missing.
     """
+    return counted_documents(docs, fields, queries, how, words, best)[0]
+
+
+def counted_documents(
+    docs: DataFrame, fields: list[str], queries: DataFrame, how: Match, words: DataFrame | None = None, best: int | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """The hits of ``match_documents``, and (query_id, found), the number of all hits, where it is known without them."""
     if takes_tokens_as_they_are(how):
-        return search_levels(docs, queries, how)
-    return search(postings(docs, fields), queries, how, words)
+        return search_levels(docs, queries, how, best)
+    return search(postings(docs, fields), queries, how, words), None
 
 
 def takes_tokens_as_they_are(how: Match) -> bool:
@@ -183,8 +195,8 @@ def _verified(texts: DataFrame, made: DataFrame, asked: DataFrame, groups: int,
     return grouped.applyInArrow(run, shape)
 
 
-def search_levels(docs: DataFrame, queries: DataFrame, how: Match) -> DataFrame:
-    """All hits of all queries: the columns and rows of ``search`` for tokens as they are.
+def search_levels(docs: DataFrame, queries: DataFrame, how: Match, best: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """All hits of all queries, or the ``best``: the columns and rows of ``search`` for tokens as they are; their number if known.
 
     Runs a few jobs while the plan is built: the frequencies, and one count of
     hits per round. Texts and queries without tokens have no hits. Tokens are
@@ -194,7 +206,12 @@ def search_levels(docs: DataFrame, queries: DataFrame, how: Match) -> DataFrame:
     asked = words.filter(F.size("words") > 0).select(
         "query_id", _hashed(F.col("words")).alias("hashes"), F.xxhash64("words").alias("query_hash"), F.size("words").alias("n")
     )
-    asked, _ = broadcast_checked(stored(asked, "asked"), size=8 * F.col("n") + 32)
+    asked = stored(asked, "asked")
+    count, size = asked.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if count > FEW_QUERIES:
+        hits, found = match_blocks(docs, asked, size, how, best)
+        return _scored(hits, how), found
+    asked, _ = broadcast_checked(asked, size=8 * F.col("n") + 32)
     texts, groups = _texts(docs, how.fields)
     records = stored(_records(asked, texts), "records")
 
@@ -207,6 +224,10 @@ def search_levels(docs: DataFrame, queries: DataFrame, how: Match) -> DataFrame:
         hits = _opened(records, verified, how.drop_tokens_threshold)
     else:
         hits = verified(records.filter("high = n").withColumn("low", F.col("n")))
+    return _scored(hits, how), None
+
+
+def _scored(hits: DataFrame, how: Match) -> DataFrame:
     costs = {f"cost_{i}": F.lit(0) for i in range(len(how.fields))}
     return hits.withColumns(costs).select(
         "query_id", "id", *document_scores(how), F.lit(0).alias("typo_cost"), (F.col("n_tokens") - F.col("lead")).alias("dropped")
