@@ -50,20 +50,26 @@ class Encoder:
 
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        self.encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.pieces = re.compile(f"[{SPACE}]+(?![^{SPACE}])| ?[^{SPACE}]+|[{SPACE}]")
-        self.known: dict[str, bytes] = {}
+        encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        # White space that stands before a word is the word's or alone, so words can be tried first.
+        self.pieces = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
+        self.known = _Known(encode)
 
     def text(self, text: str) -> bytes:
-        known, out = self.known, []
-        for piece in self.pieces.findall(text):
-            found = known.get(piece)
-            if found is None:
-                found = np.array(self.encode(piece), dtype="<u2").tobytes()
-                if len(piece) <= LONGEST and len(known) < REMEMBERED:
-                    known[piece] = found
-            out.append(found)
-        return b"".join(out)
+        return b"".join(map(self.known.__getitem__, self.pieces.findall(text)))
+
+
+class _Known(dict):
+    """Tokens of pieces; what is missing is encoded, and remembered if that is worth it."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        found = np.array(self.encode(piece), dtype="<u2").tobytes()
+        if len(piece) <= LONGEST and len(self) < REMEMBERED:
+            self[piece] = found
+        return found
 
 
 def sequences(docs: DataFrame, path: str, pattern: str, length: int = LENGTH, text: str = "text") -> DataFrame:
