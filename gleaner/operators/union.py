@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.skew import best_per_key, ordinals, top_n
-from gleaner.functions.text import tokens, word_shingles
+from gleaner.functions.text import tokens
+from gleaner.operators import near
 
 
 def with_presets(requests: DataFrame, presets: DataFrame, params: list[str], common: dict | None = None,
@@ -49,73 +50,27 @@ def drop_copies(hits: DataFrame, order: list[Column], by: str = "fingerprint") -
 
 
 def drop_near_copies(
-    hits: DataFrame, text: str, order: list[Column], wanted: int | None = None, similarity: float = 0.8, window: int | None = None
-) -> DataFrame:
+    hits: DataFrame, text: str, order: list[Column], wanted: int | None = None, similarity: float = 0.8, window: int | None = None,
+    texts: DataFrame | None = None,
+) -> DataFrame:
     """All hits per query, or the best ``wanted``, of which none is nearly the same as a better one.
 
     A hit goes when it shares enough word 3-shingles (Jaccard, whole texts)
-    with a better ranked hit that stays. Similar pairs are found by their rare
-    shingles, and only these pairs are gone through in order. ``window`` is
-    accepted from earlier callers and has no effect.
+    with a better ranked hit that stays (``near``). ``texts`` may hold the
+    texts in place of the hits, with the columns that name a hit's document;
+    then texts are read once and move with no hit. ``window`` is accepted from
+    earlier callers and has no effect.
     """
-    left = drop_copies(hits.withColumn("_copy", fingerprint(F.col(text))), order, "_copy").drop("_copy")
+    if texts is None:
+        marked = hits.withColumn("_copy", fingerprint(F.col(text)))
+    else:
+        words, on = near.words(texts, text), [c for c in texts.columns if c != text]
+        marked = hits.join(words.select(*on, "_copy"), on)
+    left = drop_copies(marked, order, "_copy").withColumn("_number", near.number(F.col("_copy"))).drop("_copy")
     placed = ordinals(left, ["query_id"], order, "_place").checkpoint()
-    worse = _similar_to_kept(_similar_pairs(placed, text, similarity))
+    if texts is None:
+        words = near.words(placed.select(text), text)
+    worse = near.near_copies(placed.select("query_id", "_place", "_number"), words, similarity)
     kept = placed if worse is None else placed.join(worse, ["query_id", "_place"], "left_anti")
-    kept = kept.drop("_place")
+    kept = kept.drop("_place", "_number")
     return kept if wanted is None else top_n(kept, ["query_id"], order, wanted).drop("rank")
-
-
-def _shingled(rows: DataFrame, text: str) -> DataFrame:
-    # Tokens become a column first: inside a lambda they would be made anew per shingle.
-    return rows.withColumn("_tokens", tokens(F.col(text))).withColumn("_shingles", word_shingles(F.col("_tokens")))
-
-
-def _similar_pairs(placed: DataFrame, text: str, similarity: float) -> DataFrame:
-    """query_id, better, worse: the places of every two similar hits of a query.
-
-    Of n shingles, similar texts share at least the part ``similarity``, so two
-    of them share one among the n - ceil(similarity * n) + 1 rarest of each.
-    """
-    sets = _shingled(placed, text).select("query_id", "_place", "_shingles").checkpoint()
-    each = sets.select("query_id", "_place", F.explode("_shingles").alias("_shingle"))
-    seen = each.groupBy("query_id", "_shingle").agg(F.count(F.lit(1)).alias("_seen"))
-    rarest = F.sort_array(F.collect_list(F.struct("_seen", "_shingle")))
-    listed = each.join(seen, ["query_id", "_shingle"]).groupBy("query_id", "_place").agg(rarest.alias("_rarest"))
-    size = F.size("_rarest")
-    # A little less than the product, so that rounding never makes a prefix too short.
-    first = F.slice("_rarest", 1, (size - F.ceil(size * similarity - 1e-9) + 1).cast("int"))
-    keys = (
-        listed.select("query_id", "_place", size.alias("_size"), F.explode(first).alias("_key"))
-        .filter(F.col("_key._seen") > 1)
-        .select("query_id", "_place", "_size", F.col("_key._shingle").alias("_shingle"))
-        .checkpoint()
-    )
-    a = keys.withColumnsRenamed({"_place": "better", "_size": "_size_a"})
-    b = keys.withColumnsRenamed({"_place": "worse", "_size": "_size_b"})
-    close = F.least("_size_a", "_size_b") >= similarity * F.greatest("_size_a", "_size_b") - 1e-9
-    pairs = a.join(b, ["query_id", "_shingle"]).filter((F.col("better") < F.col("worse")) & close).select("query_id", "better", "worse").distinct()
-    one = sets.withColumnsRenamed({"_place": "better", "_shingles": "_a"})
-    other = sets.withColumnsRenamed({"_place": "worse", "_shingles": "_b"})
-    shared = F.size(F.array_intersect("_a", "_b"))
-    similar = shared >= similarity * (F.size("_a") + F.size("_b") - shared)
-    return pairs.join(one, ["query_id", "better"]).join(other, ["query_id", "worse"]).filter(similar).select("query_id", "better", "worse")
-
-
-def _similar_to_kept(pairs: DataFrame) -> DataFrame | None:
-    """query_id, _place of the hits that go; null if none goes.
-
-    Hits without a better similar one stay, and those similar to them go, until
-    no pair is left. The best of each query's hits are decided in each round.
-    """
-    gone: DataFrame | None = None
-    pairs = pairs.checkpoint()
-    while not pairs.isEmpty():
-        worse = pairs.select("query_id", F.col("worse").alias("better")).distinct()
-        kept = pairs.select("query_id", "better").join(worse, ["query_id", "better"], "left_anti").distinct()
-        now = pairs.join(kept, ["query_id", "better"], "left_semi").select("query_id", F.col("worse").alias("_place")).distinct().checkpoint()
-        gone = now if gone is None else gone.unionByName(now)
-        for end in ("better", "worse"):
-            pairs = pairs.join(now.withColumnRenamed("_place", end), ["query_id", end], "left_anti")
-        pairs = pairs.checkpoint()
-    return gone

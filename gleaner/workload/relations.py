@@ -113,13 +113,13 @@ def _union(extra):
 
 
 def union_hits(spark, sf, column="text"):
-    """Hits of both collections with one column of their documents."""
+    """Hits of both collections with one column of their documents, or none."""
     queries = requests(spark, UNION_QUERIES)
     how = Match(("text",), **EXACT_ONLY)
     parts = {}
     for name, docs in (("documents", documents(spark, sf)), ("benchmark", benchmark(spark, sf))):
         hits = search(postings(docs, ["text"]), queries, how)
-        parts[name] = hits.join(docs.select("id", column), "id")
+        parts[name] = hits if column is None else hits.join(docs.select("id", column), "id")
     return union.merge(parts)
 
 
@@ -149,7 +149,8 @@ def union_dedup(spark, sf):
 @query("union_neardup")
 def union_neardup(spark, sf):
     order = [rank.desc("score"), rank.desc("_collection"), F.col("id").asc()]
-    return union.drop_near_copies(union_hits(spark, sf), "text", order).select("query_id", "_collection", "id")
+    texts = union.merge({"documents": documents(spark, sf).select("id", "text"), "benchmark": benchmark(spark, sf).select("id", "text")})
+    return union.drop_near_copies(union_hits(spark, sf, None), "text", order, texts=texts).select("query_id", "_collection", "id")
 
 
 _REQUESTS = [("r1", "wide", None, None), ("r2", "wide", "red", 3), ("r3", None, "small ring", None), ("r4", "narrow", None, 7), ("r5", "gone", "plate", None)]
