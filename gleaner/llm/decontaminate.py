@@ -28,6 +28,7 @@ WINDOW = 10
 BUCKETS = 8
 
 _KEY = ["doc_id", "digest"]
+_PLACE = [*_KEY, "start", "phrase", "length"]
 
 
 def benchmark_words(text: Column) -> Column:
@@ -101,15 +102,16 @@ def build_index(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text: st
 
 
 def _confirmed(places: DataFrame, wanted: DataFrame, postings: DataFrame, slop: int) -> DataFrame:
-    """Places where all ``wanted`` terms (phrase, offset, term_id, bucket) are found, with the largest shift.
+    """Places where all ``wanted`` terms (phrase, offset, term_id, needed) are found, with the largest shift so far.
 
-    Each wanted term is one row to be met by a posting of the same document;
+    ``places`` come with their phrase's length and the shift ``off`` of the terms found before. Each wanted term is one row to be met by a posting of the same document;
     with a slop, postings are met in the cells of slop + 1 positions around.
     """
     cell = lambda c: F.floor(c / F.lit(slop + 1)).cast("int")
     expected = F.col("start") + F.col("offset")
     sought = (
-        places.join(wanted, "phrase")
+        places.withColumnRenamed("off", "before")
+        .join(wanted, "phrase")
         .withColumn("expected", expected)
         .withColumn("cell", F.explode(F.sequence(cell(F.col("expected") - slop), cell(F.col("expected") + slop))))
     )
@@ -122,14 +124,13 @@ def _confirmed(places: DataFrame, wanted: DataFrame, postings: DataFrame, slop:
         & sought["doc_id"].eqNullSafe(there["_doc"])
         & (F.abs(there["pos"] - sought["expected"]) <= slop),
     )
-    at = [*_KEY, "start", "phrase"]
     return (
-        met.groupBy(*at, "offset", "needed")
+        met.groupBy(*_PLACE, "before", "offset", "needed")
         .agg(F.min(F.abs(F.col("pos") - F.col("expected"))).alias("off"))
-        .groupBy(*at, "needed")
+        .groupBy(*_PLACE, "before", "needed")
         .agg(F.count(F.lit(1)).alias("found"), F.max("off").alias("off"))
         .filter(F.col("found") == F.col("needed"))
-        .select(*at, "off")
+        .select(*_PLACE, F.greatest("before", "off").alias("off"))
     )
 
 
@@ -152,10 +153,10 @@ def find(index: Index, sought: Phrases, slop: int = 0) -> DataFrame:
         .select("phrase", "length", "offset", "term_id", "bucket", "rank")
     )
     ranked = stored(ranked, "ranked")
-    anchors, _ = broadcast_checked(ranked.filter("rank = 1").select("phrase", "offset", "term_id", "bucket"))
+    anchors, _ = broadcast_checked(ranked.filter("rank = 1").select("phrase", "length", "offset", "term_id", "bucket"))
     places = stored(
         postings.join(anchors, ["bucket", "term_id"])
-        .select(*_KEY, (F.col("pos") - F.col("offset")).alias("start"), "phrase")
+        .select(*_KEY, (F.col("pos") - F.col("offset")).alias("start"), "phrase", "length", F.lit(0).alias("off"))
         .filter("start >= 0")
         .distinct(),
         "places",
@@ -176,20 +177,9 @@ def find(index: Index, sought: Phrases, slop: int = 0) -> DataFrame:
         (F.col("p.digest") == F.col("d.digest")) & F.col("p.doc_id").eqNullSafe(F.col("d.doc_id")),
         "left_semi",
     )
-    others = _confirmed(narrowed.drop("off"), rest, own, slop)
-    at = [*_KEY, "start", "phrase"]
-    lengths = ranked.select("phrase", "length").distinct()
-    of = lambda n: lengths.filter(n)
-    one = places.withColumn("off", F.lit(0)).join(of("length = 1"), "phrase")
-    two = narrowed.join(of("length = 2"), "phrase")
-    known = narrowed.select(F.col("doc_id").alias("_doc"), *[F.col(c).alias("_" + c) for c in at[1:]], F.col("off").alias("_off"))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc"))
-    for c in at[1:]:
-        same &= F.col(c) == F.col("_" + c)
-    more = others.join(known, same).select(*at, F.greatest("off", "_off").alias("off")).join(of("length > 2"), "phrase")
-    columns = [*at, "length", "off"]
-    found = one.select(*columns).unionByName(two.select(*columns)).unionByName(more.select(*columns))
-    return found.select(*at, "length", (F.col("off") == 0).alias("exact"))
+    more = _confirmed(narrowed, rest, own, slop)
+    found = places.filter("length = 1").unionByName(narrowed.filter("length = 2")).unionByName(more)
+    return found.select(*_PLACE, (F.col("off") == 0).alias("exact"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
