@@ -2,10 +2,13 @@
 
 A block holds the postings of some thousand documents, two bytes for each
 token of a document, and is written once. Each block meets each block of
-queries in one task, where documents are bits: a query goes through its tokens
-from the left and keeps the documents that hold them all. The first meeting
-counts the documents of each level of a query, from which its last admitted
-level follows; the second makes the hits of admitted levels and nothing else.
+queries, where documents are bits and a token is a row of them: some hundred
+queries at a time go through their tokens from the left and keep the documents
+that hold them all. The first meeting counts the documents of each level of a
+query, from which its last admitted level follows; the second makes the hits of
+admitted levels and nothing else. A task takes several blocks of documents, each
+of them once, and keeps its queries: it gives levels that are still open after
+all its blocks, and of the best hits those that no earlier block has beaten.
 """
 
 from __future__ import annotations
@@ -26,10 +29,18 @@ from gleaner.session import stored
 BLOCK_DOCS = 8192
 BLOCK_TOKENS = 1 << 21
 ADDED = 512
-QUERY_TOKENS = 1 << 18
-# Hits given on at a time, and how few documents of a query are taken one by one.
+QUERY_TOKENS = 1 << 21
+# Tokens of the queries of a task at least, if there are fewer tasks than the cores can share; tasks of each core else.
+TASK_TOKENS = 1 << 16
+TASKS = 4
+# Hits given on at a time, postings turned into bits at a time, bytes of the bits of all tokens, and of those of some queries.
 GIVEN = 1 << 17
-FEW_BITS = 12
+ENTRIES = 1 << 18
+BITS_BYTES = 96 << 20
+STATE_BYTES = 1 << 21
+# Best hits of a query whose sums are remembered from block to block.
+REMEMBERED = 32
+ONE = np.uint64(1)
 # Position of a token that does not occur.
 NOWHERE = 999
 
@@ -101,186 +112,341 @@ def blocks(docs: DataFrame, fields: tuple[str, ...], places: bool = False) -> Da
     return stored(texts.mapInArrow(run, shape), "blocks")
 
 
-def query_blocks(asked: DataFrame, size: int) -> DataFrame:
-    """A row per block of queries (query_id, hashes, query_hash, last): ids, distinct tokens, and the tokens as numbers."""
+def query_blocks(asked: DataFrame, size: int, parts: int = 1) -> DataFrame:
+    """A row per block of queries (query_id, hashes, query_hash, last): ids, distinct tokens, and the tokens as numbers.
+
+    ``parts`` is the number of parts of the blocks they meet, for enough tasks.
+    """
+    cores = asked.sparkSession.sparkContext.defaultParallelism
+    shares = min(-(-TASKS * cores // parts), -(-size // TASK_TOKENS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+
+        def block() -> pa.RecordBatch:
+            piece = pa.Table.from_batches(kept)
+            values, n = _listed(piece, "hashes")
+            distinct, codes = np.unique(values, return_inverse=True)
+            whole, last = piece.column("query_hash").to_numpy(), piece.column("last").to_numpy()
+            arrays = [distinct, codes.astype(np.int32), n.astype(np.int32), whole, last.astype(np.int32)]
+            columns = [piece.column("query_id").to_pylist()], *[[a.tobytes()] for a in arrays]
+            kinds = [pa.list_(pa.string())] + [pa.binary()] * 5
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["queries", "distinct", "codes", "n", "whole", "last"])
+
+        held = 0
         for batch in batches:
             _, lengths = _listed(batch, "hashes")
             ends, start = np.cumsum(lengths), 0
             while start < batch.num_rows:
-                stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + QUERY_TOKENS, "right")))
-                piece = batch.slice(start, stop - start)
+                past = int(ends[start - 1]) if start else 0
+                stop = max(start + (not kept), int(np.searchsorted(ends, past + QUERY_TOKENS - held, "right")))
+                if stop > start:
+                    kept.append(batch.slice(start, stop - start))
+                    held += int(ends[stop - 1]) - past
+                if stop < batch.num_rows:
+                    yield block()
+                    kept, held = [], 0
                 start = stop
-                values, n = _listed(piece, "hashes")
-                distinct, codes = np.unique(values, return_inverse=True)
-                whole, last = piece.column("query_hash").to_numpy(), piece.column("last").to_numpy()
-                arrays = [distinct, codes.astype(np.int32), n.astype(np.int32), whole, last.astype(np.int32)]
-                columns = [piece.column("query_id").to_pylist()], *[[a.tobytes()] for a in arrays]
-                kinds = [pa.list_(pa.string())] + [pa.binary()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["queries", "distinct", "codes", "n", "whole", "last"])
-
-    few = asked.select("query_id", "hashes", "query_hash", "last").coalesce(max(1, -(-size // QUERY_TOKENS)))
+        if kept:
+            yield block()
+
+    few = asked.select("query_id", "hashes", "query_hash", "last").repartition(max(1, shares, -(-size // QUERY_TOKENS)))
     return stored(few.mapInArrow(run, "queries array<string>, distinct binary, codes binary, n binary, whole binary, last binary"), "queries")
 
 
 class _Field:
-    """Postings of one field of a block; ``bits`` gives the documents that hold a token of the queries."""
+    """Postings of one field of a block."""
 
     def __init__(self, row: dict, i: int):
         self.values, self.whole = np.frombuffer(row[f"v{i}"], np.int64), np.frombuffer(row[f"h{i}"], np.int64)
-        counts, self.docs = np.frombuffer(row[f"c{i}"], np.int32), np.frombuffer(row[f"d{i}"], np.uint16)
+        self.counts, self.docs = np.frombuffer(row[f"c{i}"], np.int32), np.frombuffer(row[f"d{i}"], np.uint16)
         self.places, self.n = np.frombuffer(row[f"p{i}"], np.int32), np.frombuffer(row[f"n{i}"], np.int32)
-        self.ends = np.cumsum(counts, dtype=np.int64)
-        self.counts, self.mark = counts, np.zeros(-(-len(self.n) // 8) * 8, np.uint8)
-        self.same: dict[int, list[int]] = {}
-        for d, h in enumerate(self.whole.tolist()):
-            self.same.setdefault(h, []).append(d)
-
-    def ask(self, distinct: np.ndarray) -> None:
-        at = np.minimum(np.searchsorted(self.values, distinct), max(len(self.values) - 1, 0))
-        there = self.values[at] == distinct if len(self.values) else np.zeros(len(distinct), bool)
-        self.at, self.known = at, np.where(there, None, 0).tolist()
-
-    def span(self, code: int) -> slice:
-        end = int(self.ends[k := self.at[code]])
-        return slice(end - int(self.counts[k]), end)
-
-    def bits(self, code: int) -> int:
-        if (found := self.known[code]) is None:
-            docs = self.docs[self.span(code)]
-            if len(docs) <= FEW_BITS:
-                found = 0
-                for d in docs.tolist():
-                    found |= 1 << d
-            else:
-                self.mark[docs] = 1
-                found = int.from_bytes(np.packbits(self.mark, bitorder="little").tobytes(), "little")
-                self.mark[docs] = 0
-            self.known[code] = found
-        return found
-
-    def equal(self, whole: int, n: int) -> int:
-        found = 0
-        for d in self.same.get(whole, ()):
-            if self.n[d] == n:
-                found |= 1 << d
-        return found
-
-
-def _members(bits: int, size: int) -> np.ndarray:
-    if bits.bit_count() <= FEW_BITS:
-        found = []
-        while bits:
-            found.append((bits & -bits).bit_length() - 1)
-            bits &= bits - 1
-        return np.array(found, np.int64)
-    return np.flatnonzero(_flags(bits, size))
-
-
-def _flags(bits: int, size: int) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(bits.to_bytes(-(-size // 8), "little"), np.uint8), bitorder="little")
-
-
-def _at(bits: int, docs: np.ndarray, size: int) -> np.ndarray:
-    """1 for the documents among ``docs`` that are in ``bits``, else 0."""
-    if len(docs) <= FEW_BITS:
-        return np.array([bits >> d & 1 for d in docs.tolist()], np.int32)
-    return _flags(bits, size)[docs].astype(np.int32)
-
-
-def _sums(parts: Iterator[int]) -> list[int]:
-    """How many of the parts hold each document, as binary digits, the lowest first."""
-    digits: list[int] = []
-    for carry in parts:
-        for k, digit in enumerate(digits):
-            if not carry:
-                break
-            digits[k], carry = digit ^ carry, digit & carry
-        if carry:
-            digits.append(carry)
-    return digits
-
-
-def _best(found: int, digits: list[int], same: int, most: int) -> int:
-    """The ``most`` documents with the largest sums, equal texts before others, then by place in the block."""
-    kept = got = 0
-    while found and got < most:
-        top = found
-        for digit in reversed(digits):
-            top = top & digit or top
-        top = top & same or top
-        found ^= top
-        more = top.bit_count()
-        if more > most - got:
-            few = 0
-            for _ in range(most - got):
-                few |= top & -top
-                top &= top - 1
-            top = few
-        kept, got = kept | top, got + more
-    return kept
-
-
-def _held(fields: list[_Field], code: int) -> int:
-    found = fields[0].bits(code)
-    for field in fields[1:]:
-        found |= field.bits(code)
-    return found
-
-
-def _prefixes(fields: list[_Field], codes: list[int]) -> list[int]:
-    """For each number of leading tokens the documents that hold them all, as long as there are any."""
-    found, sets = -1, []
-    for code in codes:
-        if not (found := found & _held(fields, code)):
-            break
-        sets.append(found)
-    return sets
-
-
-def _met(made: DataFrame, asked: DataFrame, fields: int, answer, shape: str) -> DataFrame:
-    """What ``answer`` gives for each block of documents and each block of queries."""
+        self.ends = np.cumsum(self.counts, dtype=np.int64)
+        self.keys = None
+
+    def find(self, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where sorted tokens stand in the vocabulary, and whether they do."""
+        if not len(self.values):
+            return np.zeros(len(distinct), np.int64), np.zeros(len(distinct), bool)
+        at = np.minimum(np.searchsorted(self.values, distinct), len(self.values) - 1)
+        return at, self.values[at] == distinct
+
+    def bits(self, at: np.ndarray, rows: np.ndarray, made: np.ndarray) -> None:
+        """Sets the documents of the tokens at some places in their rows."""
+        words, flat = made.shape[1], made.reshape(-1)
+        ends, lengths = self.ends[at], self.counts[at].astype(np.int64)
+        sums = np.cumsum(lengths)
+        start = 0
+        while start < len(at):
+            past = int(sums[start] - lengths[start])
+            stop = max(start + 1, int(np.searchsorted(sums, past + ENTRIES, "right")))
+            few, piece = lengths[start:stop], slice(start, stop)
+            docs = self.docs[np.arange(past, int(sums[stop - 1])) + np.repeat(ends[piece] - sums[piece], few)]
+            word = np.repeat(rows[piece] * words, few) + (docs >> 6)
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            flat[word[first]] = np.bitwise_or.reduceat(ONE << (docs & 63).astype(np.uint64), first)
+            start = stop
+
+    def place(self, at: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """Where tokens, by their place in the vocabulary, stand first in documents that hold them."""
+        if self.keys is None:
+            self.keys = np.repeat(np.arange(len(self.values)) << 16, self.counts) | self.docs
+        return self.places[np.searchsorted(self.keys, at << 16 | docs)]
+
+
+class _Queries:
+    """A block of queries; ``top`` are the largest sums given so far for each, where only the best are wanted."""
+
+    def __init__(self, row: dict):
+        number = lambda c, kind: np.frombuffer(row[c].as_buffer(), kind).copy()
+        self.ids = row["queries"].values.take(pa.array(np.arange(len(row["queries"].values))))
+        self.distinct, self.codes, self.whole = number("distinct", np.int64), number("codes", np.int32), number("whole", np.int64)
+        self.n, self.last = number("n", np.int32).astype(np.int64), number("last", np.int32).astype(np.int64)
+        self.starts = np.cumsum(self.n) - self.n
+        self.top: np.ndarray | None = None
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+class _Meeting:
+    """Some queries of a block and the documents of a block, a bit each; ``held`` has a row of bits for each token, row 0 has none."""
+
+    def __init__(self, block: list[_Field], asked: _Queries, found: list[tuple[np.ndarray, np.ndarray]], known: np.ndarray, queries: np.ndarray):
+        self.block, self.asked, self.found, self.queries = block, asked, found, queries
+        self.words = -(-len(block[0].n) // 64)
+        self.row = np.zeros(len(known), np.int64)
+        self.row[known] = np.arange(1, np.count_nonzero(known) + 1)
+        self.fields = []
+        for field, (at, there) in zip(block, found):
+            wanted = there & known
+            self.fields.append(made := np.zeros((np.count_nonzero(known) + 1, self.words), np.uint64))
+            field.bits(at[wanted], self.row[wanted], made)
+        self.held = self.fields[0] if len(block) == 1 else np.bitwise_or.reduce(self.fields)
+
+    def _slots(self, queries: np.ndarray, slot: int | np.ndarray) -> np.ndarray:
+        return self.asked.codes[self.asked.starts[queries] + slot]
+
+    def _pieces(self, queries: np.ndarray) -> Iterator[np.ndarray]:
+        step = max(1, STATE_BYTES // (8 * self.words))
+        return (queries[k : k + step] for k in range(0, len(queries), step))
+
+    def _longer(self, queries: np.ndarray, held: np.ndarray | None, slot: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the queries some document holds one more token for, and these documents."""
+        rows = self.row[self._slots(queries, slot)]
+        some = np.flatnonzero(rows)
+        made = self.held[rows[some]]
+        if held is not None:
+            made &= held[some]
+        left = np.bitwise_or.reduce(made, axis=1) != 0
+        return (some, made) if left.all() else (some[left], made[left])
+
+    def levels(self, threshold: int) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+        """(queries, lead, how many documents hold so many leading tokens); up to a threshold of 1 the longest lead alone."""
+        n = self.asked.n
+        for left in self._pieces(self.queries):
+            held, slot = None, 0
+            while len(left):
+                some, made = self._longer(left, held, slot)
+                if slot and threshold <= 1:
+                    ended = np.ones(len(left), bool)
+                    ended[some] = False
+                    if ended.any():
+                        yield left[ended], slot, _counted(held[ended])
+                left, held, slot = left[some], made, slot + 1
+                open_, over = n[left] > slot, n[left] == slot
+                if threshold > 1 and len(left):
+                    yield left, slot, _counted(held)
+                elif over.any():
+                    yield left[over], slot, _counted(held[over])
+                if over.any():
+                    left, held = left[open_], held[open_]
+
+    def holding(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(queries, documents that hold all tokens up to their last level), some at a time."""
+        last = self.asked.last
+        for left in self._pieces(self.queries[(last[self.queries] > 0) & (last[self.queries] <= self.asked.n[self.queries])]):
+            held, slot, which, sets = None, 0, [], []
+            while len(left):
+                some, held = self._longer(left, held, slot)
+                left, slot = left[some], slot + 1
+                done = last[left] == slot
+                if done.any():
+                    which.append(left[done])
+                    sets.append(held[done])
+                    left, held = left[~done], held[~done]
+            if which:
+                yield np.concatenate(which), np.concatenate(sets)
+
+    def hits(self, queries: np.ndarray, held: np.ndarray, how: Match) -> Iterator[list[np.ndarray]]:
+        """query, document, lead, and per field the tokens, whether there are any, equal texts and the first place."""
+        early, single = how.ranking_tokens, len(self.block) == 1 and not how.prioritize_token_position
+        # What is held in every document of a single field needs no counting.
+        first = self.asked.last[queries] if single else np.zeros(len(queries), np.int64)
+        order = np.argsort(first - self.asked.n[queries], kind="stable")
+        queries, held, first = queries[order], held[order], first[order]
+        ends, start = np.cumsum(_counted(held)), 0
+        while start < len(queries):
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + GIVEN, "right")))
+            yield self._scored(queries[start:stop], held[start:stop], first[start:stop], early, how.prioritize_token_position)
+            start = stop
+
+    def _scored(self, queries: np.ndarray, held: np.ndarray, first: np.ndarray, early: int | None, places: bool) -> list[np.ndarray]:
+        """The hits of queries in the order of how many tokens are left from the first on, most first."""
+        at, word = np.nonzero(held)
+        bit, doc = np.nonzero(np.unpackbits(held[at, word].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+        at, doc = at[bit], word[bit] * 64 + doc
+        each = np.bincount(at, minlength=len(queries))
+        ends, n = np.cumsum(each), self.asked.n[queries]
+        lead, going = first[at].astype(np.int32), np.ones(len(at), bool)
+        sure = first if early is None else np.minimum(first, early)
+        sums = [sure[at].astype(np.int32) for _ in self.fields]
+        inside = [np.full(len(at), len(self.fields) == 1) for _ in self.fields]
+        place = [np.full(len(at), NOWHERE, np.int32) for _ in self.fields]
+        byte, mask = doc >> 3, np.left_shift(1, doc & 7).astype(np.uint8)
+        flat = [made.reshape(-1).view(np.uint8) for made in self.fields]
+        for slot in range(int((n - first).max())):
+            left = int(np.searchsorted(first - n, -slot, "left"))
+            codes, end = self._slots(queries[:left], first[:left] + slot), int(ends[left - 1])
+            look = np.repeat(self.row[codes] * (8 * self.words), each[:left]) + byte[:end]
+            there = [np.not_equal(made[look] & mask[:end], 0) for made in flat]
+            if going is not None:
+                going = going[:end] & (there[0] if len(there) == 1 else np.logical_or.reduce(there))
+                lead[:end] += going
+                going = going if going.any() else None
+            counted = None if early is None else np.repeat(first[:left] + slot < early, each[:left])
+            for i, found in enumerate(there):
+                inside[i][:end] |= found
+                found = found if counted is None else found & counted
+                sums[i][:end] += found
+                if places and found.any():
+                    some = np.flatnonzero(found)
+                    where = self.block[i].place(self.found[i][0][codes][at[some]], doc[some])
+                    place[i][some] = np.minimum(place[i][some], where)
+        out = [queries[at], doc, lead]
+        for i, field in enumerate(self.block):
+            same = (field.whole[doc] == self.asked.whole[queries][at]) & (field.n[doc] == n[at])
+            out += [sums[i], inside[i].astype(np.int32), same] + [place[i]] * places
+        return out
+
+
+def _counted(bits: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+
+
+def _meetings(block: list[_Field], asked: _Queries) -> Iterator[_Meeting]:
+    """All queries of a block, as many at a time as the bits of their tokens allow."""
+    found = [field.find(asked.distinct) for field in block]
+    known = np.logical_or.reduce([there for _, there in found])
+    size = 8 * -(-len(block[0].n) // 64) * (len(block) + (len(block) > 1))
+    open_ = [(0, len(asked.n))]
+    while open_:
+        start, stop = open_.pop()
+        used = known
+        if stop - start < len(asked.n):
+            used = np.zeros(len(known), bool)
+            used[asked.codes[asked.starts[start] : asked.starts[stop - 1] + asked.n[stop - 1]]] = True
+            used &= known
+        if np.count_nonzero(used) * size > BITS_BYTES and stop - start > 1:
+            middle = (start + stop) // 2
+            open_ += [(middle, stop), (start, middle)]
+        else:
+            yield _Meeting(block, asked, found, used, np.arange(start, stop))
+
+
+def _best(asked: _Queries, hits: list[np.ndarray], best: int, exact: bool) -> list[np.ndarray]:
+    """Of the hits, which stand by query and document, the first ones of each query; none that are behind those given before."""
+    key = 2 * hits[3].astype(np.int64) + (hits[5] if exact else 0)
+    query = hits[0]
+    if 0 < best <= REMEMBERED:
+        if asked.top is None:
+            asked.top = np.full((len(asked.n), best), -1, np.int64)
+        some = np.flatnonzero(key >= asked.top[query, 0])
+        hits, key, query = [c[some] for c in hits], key[some], query[some]
+    order = np.lexsort((hits[1], -key, query))
+    query = query[order]
+    new = np.flatnonzero(np.diff(query, prepend=-1))
+    place = np.arange(len(query)) - np.repeat(new, np.diff(np.append(new, len(query))))
+    kept = place < best
+    order, place, query = order[kept], place[kept], query[kept]
+    if 0 < best <= REMEMBERED:
+        which = query[place == 0]
+        now = np.full((len(which), best), -1, np.int64)
+        now[np.cumsum(place == 0) - 1, place] = key[order]
+        asked.top[which] = np.sort(np.hstack([asked.top[which], now]), axis=1)[:, best:]
+    return [c[order] for c in hits]
+
+
+def _met(made: DataFrame, asked: DataFrame, fields: int, visit, done, shape: str) -> DataFrame:
+    """What ``visit`` gives for each block of documents and each block of queries, and ``done`` for each block of queries at the end.
+
+    A task takes some blocks one after the other and keeps its queries. Pairs of
+    blocks come in order, all queries after each documents; each is passed on once.
+    """
+    parts = made.rdd.getNumPartitions()
+    few = made.coalesce(max(1, min(parts, TASKS * made.sparkSession.sparkContext.defaultParallelism)))
+    nth = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    pairs = few.withColumn("_block", nth).hint("shuffle_replicate_nl").crossJoin(asked.withColumn("_queries", nth))
+    once = lambda df, other: [F.when(F.col(other) == 0, F.col(c)).alias(c) for c in df.columns]
+    passed = pairs.select("_block", "_queries", *once(made, "_queries"), *once(asked, "_block"))
+    written, said = made.columns, asked.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, block = None, []
+        queries: list[_Queries] = []
+        block, ids = None, None
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {c: batch.column(c)[k] for c in batch.schema.names}
-                if name != (name := row["block"].as_py()):
-                    data = {c: v.as_buffer() for c, v in row.items() if c[-1].isdigit()}
-                    block = [_Field(data, i) for i in range(fields)]
-                number = lambda c, kind: np.frombuffer(row[c].as_buffer(), kind)  # noqa: B023, E731
-                for field in block:
-                    field.ask(number("distinct", np.int64))
-                codes, n = number("codes", np.int32).tolist(), number("n", np.int32)
-                starts = (np.cumsum(n) - n).tolist()
-                each = ((codes[s : s + m], m, w, x) for s, m, w, x in zip(starts, n.tolist(), number("whole", np.int64).tolist(), number("last", np.int32).tolist()))
-                yield from answer(block, each, row["ids"].values, row["queries"].values)
+                if row["_queries"].as_py() == 0:
+                    block = [_Field({c: row[c].as_buffer() for c in written if c[-1].isdigit()}, i) for i in range(fields)]
+                    ids = row["ids"].values
+                if row["_block"].as_py() == 0:
+                    queries.append(_Queries({c: row[c] for c in said}))
+                yield from visit(block, ids, queries[row["_queries"].as_py()])
+        for each in queries:
+            yield from done(each)
 
-    return made.crossJoin(asked).mapInArrow(run, shape)
+    return passed.mapInArrow(run, shape)
 
 
 def _levels(made: DataFrame, asked: DataFrame, how: Match) -> DataFrame:
-    """(query_id, lead, hits): the documents of each level of a block that the block's stricter hits leave open."""
+    """(query_id, lead, hits): the documents of each level that a task's stricter hits leave open."""
     threshold = how.drop_tokens_threshold
 
-    def answer(fields, each, ids, queries):
-        rows: list[tuple[int, int, int]] = []
-        for q, (codes, n, _, _) in enumerate(each):
-            sets, before = _prefixes(fields, codes), 0
-            for lead in range(len(sets), 0, -1):
-                if before >= max(threshold, 1) or lead < n and not threshold:
-                    break
-                size = sets[lead - 1].bit_count()
-                if size > before:
-                    rows.append((q, lead, size - before))
-                before = size
-        if rows:
-            which, lead, hits = (pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64())))
-            yield pa.RecordBatch.from_arrays([queries.take(which), lead, hits], ["query_id", "lead", "hits"])
-
-    rows = _met(made, asked, len(how.fields), answer, "query_id string, lead int, hits long")
+    def summed(parts: list[tuple[np.ndarray, np.ndarray]], sizes: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Hits by query and lead, or sizes to be made hits, as far as they are open; longer leads come first."""
+        keys, index = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        hits = np.bincount(index, np.concatenate([h for _, h in parts])).astype(np.int64)
+        query = keys >> 32
+        new = np.diff(query, prepend=-1) != 0
+        if sizes:
+            before = np.where(new, 0, np.append(0, hits[:-1]))
+            hits = hits - before
+        else:
+            sums = np.cumsum(hits) - hits
+            before = sums - sums[np.flatnonzero(new)][np.cumsum(new) - 1]
+        open_ = (before < max(threshold, 1)) & (hits > 0)
+        return keys[open_], hits[open_]
+
+    def visit(block, ids, queries):
+        found = []
+        for meeting in _meetings(block, queries):
+            for which, lead, size in meeting.levels(threshold):
+                if not threshold:
+                    which, size = which[whole := queries.n[which] == lead], size[whole]
+                found.append((which << 32 | (1 << 31) - lead, size))
+        if found:
+            queries.levels.append(summed(found, True))
+        if sum(len(k) for k, _ in queries.levels) > 4 * len(queries.n):
+            queries.levels = [summed(queries.levels, False)]
+        return ()
+
+    def done(queries):
+        if queries.levels:
+            keys, hits = summed(queries.levels, False)
+            lead = (1 << 31) - (keys & 0xFFFFFFFF)
+            arrays = [queries.ids.take(pa.array(keys >> 32)), pa.array(lead.astype(np.int32)), pa.array(hits)]
+            yield pa.RecordBatch.from_arrays(arrays, ["query_id", "lead", "hits"])
+
+    rows = _met(made, asked, len(how.fields), visit, done, "query_id string, lead int, hits long")
     return rows.groupBy("query_id", "lead").agg(F.sum("hits").alias("hits"))
 
 
@@ -298,65 +464,36 @@ def in_page_order(how: Match) -> bool:
 
 
 def _hits(made: DataFrame, asked: DataFrame, how: Match, best: int | None) -> DataFrame:
-    """The documents of each query from its last level on, or the best of each block, with what their score needs."""
-    fields, early, places, exact = len(how.fields), how.ranking_tokens, how.prioritize_token_position, how.prioritize_exact_match
-    names = ["tokens", "in", "same"] + ["pos"] * places
+    """The documents of each query from its last level on, or the best of them, with what their score needs."""
+    fields = len(how.fields)
+    names = ["tokens", "in", "same"] + ["pos"] * how.prioritize_token_position
     columns = [f"{name}_{i}" for i in range(fields) for name in names]
     kinds = [pa.bool_() if c.startswith("same") else pa.int32() for c in columns]
     shape = "query_id string, id string, n_tokens int, lead int, " + ", ".join(
         f"{c} {'boolean' if k == pa.bool_() else 'int'}" for c, k in zip(columns, kinds)
     )
 
-    def answer(block, each, ids, queries):
-        size, kept, rows = len(ids), [], 0
+    def visit(block, ids, queries):
+        kept, rows = [], 0
 
         def given() -> pa.RecordBatch:
-            q, n, counts, docs, *rest = zip(*kept)
-            which = pa.array(np.repeat(np.array(q), counts))
-            length = pa.array(np.repeat(np.array(n, np.int32), counts))
-            arrays = [queries.take(which), ids.take(pa.array(np.concatenate(docs))), length]
-            arrays += [pa.array(np.concatenate(c)).cast(k) for c, k in zip(rest, [pa.int32(), *kinds])]
+            which, docs, lead, *rest = (np.concatenate(c) for c in zip(*kept))
+            arrays = [queries.ids.take(pa.array(which)), ids.take(pa.array(docs)), pa.array(queries.n[which].astype(np.int32))]
+            arrays += [pa.array(c, k) for c, k in zip([lead, *rest], [pa.int32(), *kinds])]
             return pa.RecordBatch.from_arrays(arrays, ["query_id", "id", "n_tokens", "lead", *columns])
 
-        for q, (codes, n, whole, last) in enumerate(each):
-            sets = _prefixes(block, codes)
-            if len(sets) < last:
-                continue
-            found, counted = sets[last - 1], codes if early is None else codes[:early]
-            # What is held in every document of a single field needs no counting.
-            sure = min(last, len(counted)) if fields == 1 else 0
-            sums = [_sums(field.bits(c) & found for c in counted[sure:]) for field in block]
-            same = [field.equal(whole, n) & found for field in block]
-            if best is not None:
-                found = _best(found, sums[0], same[0] if exact else 0, best)
-            docs = _members(found, size)
-            values = [q, n, len(docs), docs, last + sum((_at(s, docs, size) for s in sets[last:]), np.zeros(len(docs), np.int32))]
-            for i, field in enumerate(block):
-                values.append(sure + sum((_at(s, docs, size) << k for k, s in enumerate(sums[i])), np.zeros(len(docs), np.int32)))
-                if fields == 1:
-                    values.append(np.ones(len(docs), np.int32))
-                else:
-                    there = 0
-                    for c in codes:
-                        there |= field.bits(c)
-                    values.append(_at(there, docs, size))
-                values.append(_at(same[i], docs, size).astype(bool))
-                if places:
-                    at = np.full(size, NOWHERE, np.int32)
-                    for c in counted:
-                        if field.bits(c):
-                            span = field.span(c)
-                            at[field.docs[span]] = np.minimum(at[field.docs[span]], field.places[span])
-                    values.append(at[docs])
-            kept.append(values)
-            rows += len(docs)
-            if rows >= GIVEN:
-                yield given()
-                kept, rows = [], 0
-        if kept:
+        for meeting in _meetings(block, queries):
+            for which, held in meeting.holding():
+                for hits in meeting.hits(which, held, how):
+                    kept.append(hits if best is None else _best(queries, hits, best, how.prioritize_exact_match))
+                    rows += len(kept[-1][0])
+                    if rows >= GIVEN:
+                        yield given()
+                        kept, rows = [], 0
+        if rows:
             yield given()
 
-    return _met(made, asked, fields, answer, shape)
+    return _met(made, asked, fields, visit, lambda queries: (), shape)
 
 
 def match_blocks(docs: DataFrame, asked: DataFrame, size: int, how: Match, best: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -367,7 +504,8 @@ def match_blocks(docs: DataFrame, asked: DataFrame, size: int, how: Match, best:
     those of all hits. The blocks and the levels are made while the plan is built.
     """
     made = blocks(docs, how.fields, how.prioritize_token_position)
-    levels = _levels(made, query_blocks(asked.withColumn("last", F.lit(0)), size), how)
+    parts = made.rdd.getNumPartitions()
+    levels = _levels(made, query_blocks(asked.withColumn("last", F.lit(0)), size, parts), how)
     last = stored(_admitted(levels, how.drop_tokens_threshold), "last")
-    opened = query_blocks(asked.join(last.select("query_id", "last"), "query_id"), size)
+    opened = query_blocks(asked.join(last.select("query_id", "last"), "query_id"), size, parts)
     return _hits(made, opened, how, best if in_page_order(how) else None), last.select("query_id", "found")
