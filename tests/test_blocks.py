@@ -70,3 +70,40 @@ def test_many_queries_write_no_pairs(spark, monkeypatch):
     how = Match(("a",), **(EXACT_ONLY | {"drop_tokens_threshold": 1}))
     assert levels.match_documents(docs, ["a"], queries, how).count()
     assert written == ["asked", "blocks", "queries", "last", "queries"]
+
+
+def many(spark):
+    """Queries whose tokens many documents hold, in documents read in several pieces."""
+    words = [f"w{i}" for i in range(12)]
+    docs = [(str(i), " ".join(words[(i * k + k) % 12] for k in range(1 + i % 9))) for i in range(300)]
+    asked = [(f"q{i}", " ".join(words[(i + k * k) % 12] for k in range(1 + i % 5))) for i in range(40)]
+    return spark.createDataFrame(docs, "id string, a string").repartition(3), spark.createDataFrame(asked, "query_id string, q string")
+
+
+def test_levels_are_given_once_for_a_task(spark, small, monkeypatch):
+    """However many blocks there are, a task gives a query no levels that its own hits have closed."""
+    monkeypatch.setattr(blocks, "TASKS", 1)
+    monkeypatch.setattr(blocks, "TASK_TOKENS", 1 << 16)
+    monkeypatch.setattr(blocks, "QUERY_TOKENS", 1 << 16)
+    docs, queries = many(spark)
+    given = []
+    met = blocks._met
+    monkeypatch.setattr(blocks, "_met", lambda *args: given.append(met(*args)) or given[-1])
+    how = Match(("a",), **(EXACT_ONLY | {"drop_tokens_threshold": 1}))
+    found = levels.match_documents(docs, ["a"], queries, how, best=2)
+    shown = page(found, default_order(), per_page=2).select("query_id", "rank", "id", "score").collect()
+    every = page(search(postings(docs, ["a"]), queries, how), default_order(), per_page=2).select("query_id", "rank", "id", "score").collect()
+    assert sorted(map(tuple, shown)) == sorted(map(tuple, every))
+    tasks = spark.sparkContext.defaultParallelism
+    assert given[0].groupBy("query_id").count().agg({"count": "max"}).first()[0] <= tasks
+
+
+def test_bits_of_many_tokens_are_made_for_fewer_queries(spark, small, monkeypatch):
+    monkeypatch.setattr(blocks, "BITS_BYTES", 200)
+    monkeypatch.setattr(blocks, "STATE_BYTES", 64)
+    monkeypatch.setattr(blocks, "ENTRIES", 9)
+    docs, queries = rows(spark)
+    how = Match(("a", "b"), **(EXACT_ONLY | {"drop_tokens_threshold": 3}))
+    found = levels.match_documents(docs, ["a", "b"], queries, how).select(*levels.HIT).collect()
+    wanted = search(postings(docs, ["a", "b"]), queries, how).select(*levels.HIT).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, wanted)) and found
